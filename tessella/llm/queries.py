@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessella.llm import line_dedup, mixing, packing
+from tessella.llm import line_dedup, mixing, packing, vectors
 from tessella.llm.common import read
 
 
@@ -13,10 +13,12 @@ def _on(table: str, f):
 def queries() -> dict:
     return {
         "op1_line_dedup": _on("documents", line_dedup.op1_line_dedup),
+        "op4_permutation_ann": _on("embeddings", vectors.permutation_top),
         "op5_packing": _on("documents", packing.op5_packing),
         "op7_mixing": _on("documents", mixing.op7_mixing),
+        "op8_exact_topk": _on("embeddings", vectors.exact_top),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.OP1_SQL, "op7_mixing": mixing.OP7_SQL}
+    return {"op1_line_dedup": line_dedup.OP1_SQL, "op7_mixing": mixing.OP7_SQL, "op8_exact_topk": vectors.OP8_SQL}
