@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessella.llm import line_dedup, mixing, packing, toxicity, vectors
+from tessella.llm import language, line_dedup, mixing, packing, toxicity, vectors
 from tessella.llm.common import read
 
 
@@ -16,6 +16,7 @@ def queries() -> dict:
         "op3_toxicity": lambda spark, sf_dir: toxicity.op3_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")),
         "op4_permutation_ann": _on("embeddings", vectors.permutation_top),
         "op5_packing": _on("documents", packing.op5_packing),
+        "op6_language_id": _on("documents", language.op6_language_id),
         "op7_mixing": _on("documents", mixing.op7_mixing),
         "op8_exact_topk": _on("embeddings", vectors.exact_top),
     }
