@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessella.llm import language, line_dedup, mixing, packing, toxicity, vectors
+from tessella.llm import language, line_dedup, mixing, packing, pii, toxicity, vectors
 from tessella.llm.common import read
 
 
@@ -13,6 +13,7 @@ def _on(table: str, f):
 def queries() -> dict:
     return {
         "op1_line_dedup": _on("documents", line_dedup.op1_line_dedup),
+        "op2_pii": _on("documents", pii.op2_pii),
         "op3_toxicity": lambda spark, sf_dir: toxicity.op3_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")),
         "op4_permutation_ann": _on("embeddings", vectors.permutation_top),
         "op5_packing": _on("documents", packing.op5_packing),
