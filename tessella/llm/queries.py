@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessella.llm import language, line_dedup, mixing, packing, pii, toxicity, vectors
+from tessella.llm import jaccard, language, line_dedup, mixing, packing, pii, toxicity, vectors
 from tessella.llm.common import read
 
 
@@ -20,6 +20,7 @@ def queries() -> dict:
         "op6_language_id": _on("documents", language.op6_language_id),
         "op7_mixing": _on("documents", mixing.op7_mixing),
         "op8_exact_topk": _on("embeddings", vectors.exact_top),
+        "op10_jaccard_join": _on("documents", jaccard.op10_jaccard_join),
     }
 
 
