@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessella.llm import jaccard, language, line_dedup, mixing, packing, pii, toxicity, vectors
+from tessella.llm import jaccard, language, licenses, line_dedup, mixing, packing, pii, toxicity, vectors
 from tessella.llm.common import read
 
 
@@ -20,9 +20,10 @@ def queries() -> dict:
         "op6_language_id": _on("documents", language.op6_language_id),
         "op7_mixing": _on("documents", mixing.op7_mixing),
         "op8_exact_topk": _on("embeddings", vectors.exact_top),
+        "op9_license_scan": _on("documents", licenses.op9_license_scan),
         "op10_jaccard_join": _on("documents", jaccard.op10_jaccard_join),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.OP1_SQL, "op7_mixing": mixing.OP7_SQL, "op8_exact_topk": vectors.OP8_SQL}
+    return {"op1_line_dedup": line_dedup.OP1_SQL, "op7_mixing": mixing.OP7_SQL, "op8_exact_topk": vectors.OP8_SQL, "op9_license_scan": licenses.OP9_SQL}
