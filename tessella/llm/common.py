@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,14 +17,27 @@ WORD = r"[^\x20\x09-\x0D]+"
 HOT_KEYS = 1024
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage: materialise in the shared folder named by spark.checkpoint.dir (a temporary one only if unset)."""
-    sc = df.sparkSession.sparkContext
+def shared_dir(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir, which all executors see; a temporary one only where that is unset."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tessella-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage by a checkpoint, for narrow tables; Spark clears it when it's out of use."""
+    shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Cut the lineage by a Parquet table in the shared folder, for wide tables; it stays until that folder is cleared."""
+    path = f"{shared_dir(df.sparkSession)}/tables/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -382,5 +382,18 @@ def join(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("copies", F.lit(1).cast("long")).alias("copies"))
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of docs, with all their columns, without those that `join` puts in a component with a smaller id.
+
+    A row without words stays. Of equal rows of one id one stays; rows of an id with other texts are judged by their id.
+    """
+    kept = cut(join(docs.select("doc_id", "text")).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_kept")).agg(F.count(F.lit(1)).alias("_rows")))
+    out = docs.join(kept.select("_kept"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    if kept.where("_rows > 1").isEmpty():
+        return out
+    names = docs.columns
+    return out.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).select(*names)
+
+
 def op10_jaccard_join(docs: DataFrame) -> DataFrame:
     return join(docs.select("doc_id", "text")).select("doc_id", "n_shingles", "component_id")

@@ -49,6 +49,12 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     )
 
 
+def without_shared_lines(docs: DataFrame) -> DataFrame:
+    """The rows of docs, with all their columns, in the texts that `dedup_lines` leaves; n_chars follows where there is one."""
+    out = dedup_lines(docs)
+    return (out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out).select(*docs.columns)
+
+
 def op1_line_dedup(docs: DataFrame) -> DataFrame:
     out = dedup_lines(docs.select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "utf-8"), 256).alias("kept_sha256"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import WORD, cut
+from tessella.llm.common import SPACE, WORD, cut
 
 #: Fixed values of the contract: weights in turn, the share of all sizes, the most often a source may be used.
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
@@ -40,7 +40,7 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int =
 
 
 def mix(docs: DataFrame, seed: str = "", share: float = SHARE, most: int = MOST, weights=WEIGHTS) -> DataFrame:
-    """One row a row of docs (doc_id, source, size long): doc_id, source, size, source_size, target, taken.
+    """One row a row of docs (doc_id, source, size long and any more): these, source_size, target, taken.
 
     Each document gets a hash-random key; keys are sorted in ranges within each source, running sums of sizes are made
     from sums of ranges and sums inside a range, and each source is cut at its exact budget (its target, rounded): whole
@@ -51,7 +51,8 @@ def mix(docs: DataFrame, seed: str = "", share: float = SHARE, most: int = MOST,
     0: taken 0. An empty table gives an empty table.
     """
     key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    rows = cut(docs.select("doc_id", F.col("source").alias("_source"), F.col("size").alias("_size"), key.alias("_key")))
+    extra = [c for c in docs.columns if c not in ("doc_id", "source", "size")]
+    rows = cut(docs.select("doc_id", F.col("source").alias("_source"), F.col("size").alias("_size"), key.alias("_key"), *extra))
     sizes = targets(rows.groupBy("_source").agg(F.sum("_size").alias("_source_size"), F.count(F.lit(1)).alias("_n")), weights, share, most)
     budget = F.round("_target").cast("long")
     sizes = cut(
@@ -63,7 +64,7 @@ def mix(docs: DataFrame, seed: str = "", share: float = SHARE, most: int = MOST,
     # one row a source against all documents: dealt by salted source, not by source
     many = sizes.withColumn("_deal", F.explode(F.sequence(F.lit(0), F.lit(63))))
     dealt = rows.withColumn("_deal", F.conv(F.substring("_key", 31, 2), 16, 10).cast("int") % 64)
-    ranged = dealt.join(many, dealt["_source"].eqNullSafe(many["_source"]) & (dealt["_deal"] == many["_deal"])).select("doc_id", dealt["_source"], "_size", "_key", "_source_size", "_target", "_epochs", "_rest", F.floor(unit * F.col("_ranges")).alias("_range"))
+    ranged = dealt.join(many, dealt["_source"].eqNullSafe(many["_source"]) & (dealt["_deal"] == many["_deal"])).select("doc_id", *extra, dealt["_source"], "_size", "_key", "_source_size", "_target", "_epochs", "_rest", F.floor(unit * F.col("_ranges")).alias("_range"))
     ranged = cut(ranged)
     sums = ranged.groupBy("_source", "_range").agg(F.sum("_size").alias("_sum"))
     up_to = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -72,7 +73,28 @@ def mix(docs: DataFrame, seed: str = "", share: float = SHARE, most: int = MOST,
     run = ranged.withColumn("_before", F.coalesce(F.sum("_size").over(inside), F.lit(0).cast("long")))
     placed = run.join(starts, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_range") == F.col("_r")))
     part = F.least(F.col("_size"), F.greatest(F.lit(0).cast("long"), F.col("_rest") - F.col("_start") - F.col("_before")))
-    return placed.select("doc_id", F.col("_source").alias("source"), F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_epochs") * F.col("_size") + part).alias("taken"))
+    return placed.select("doc_id", *extra, F.col("_source").alias("source"), F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_epochs") * F.col("_size") + part).alias("taken"))
+
+
+def remix(docs: DataFrame, share: float = SHARE, most: int = MOST) -> DataFrame:
+    """The mix itself: the rows of docs (doc_id, text, source and any more), as often as `mix` takes them.
+
+    A row that is taken in part (one a source at most) ends after so many words; n_chars follows where there is one.
+    Rows that aren't taken, and those without words, go.
+    """
+    names = docs.columns
+    version = F.xxhash64(F.coalesce(F.col("text"), F.lit("")), F.col("source"))
+    each = Window.partitionBy("doc_id", "_version").orderBy("_version")  # equal rows of an id, one by one
+    rows = docs.withColumn("_version", version).withColumn("_turn", F.row_number().over(each))
+    sizes = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), version.alias("_version"))
+    taken = mix(sizes, share=share, most=most).withColumn("_turn", F.row_number().over(Window.partitionBy("doc_id", "_version").orderBy(F.desc("taken"))))
+    t = taken.where("taken > 0").select(F.col("doc_id").alias("_id"), F.col("_version").alias("_v"), F.col("_turn").alias("_t"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
+    joined = rows.join(t, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_version") == F.col("_v")) & (F.col("_turn") == F.col("_t")))
+    copies = joined.withColumn("_left", F.explode(F.transform(F.sequence(F.lit(1), F.ceil(F.col("_taken") / F.col("_size")).cast("int")), lambda i: F.least(F.col("_size"), F.col("_taken") - (i - 1) * F.col("_size")))))
+    pieces = F.split(F.ltrim(F.col("text"), F.lit(SPACE)), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
+    text = F.when(F.col("_left") == F.col("_size"), F.col("text")).otherwise(F.rtrim(F.array_join(F.slice(pieces, F.lit(1), F.col("_left").cast("int")), ""), F.lit(SPACE)))
+    out = copies.withColumn("text", text)
+    return (out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out).select(*names)
 
 
 def op7_mixing(docs: DataFrame) -> DataFrame:

@@ -229,13 +229,13 @@ def learn_lexicon(train: DataFrame) -> Lexicon:
 
 
 def _scored(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
-    names = docs.columns
+    """The columns of docs but text, then total and most."""
+    rest = [c for c in docs.columns if c != "text"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text") + ", total double, most double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got = [lexicon.features(t.as_py() or "") for t in b.column("text")]
-            rest = [c for c in names if c != "text"]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), pa.array([x[0] for x in got], pa.float64()), pa.array([x[1] for x in got], pa.float64())], names=[*rest, "total", "most"])
 
     return docs.mapInArrow(run, schema)
@@ -257,15 +257,11 @@ def calibrate(total: np.ndarray, most: np.ndarray, toxic: np.ndarray, ridge: flo
     return w
 
 
-def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs (doc_id, text) and labels (doc_id, toxic): doc_id, held_out, score, predicted.
-
-    Learned from at most TRAIN_ROWS labelled documents of the other folds: words that toxic rows use in many contexts and
-    clean ones don't become weighted terms; all whole texts are then scored through the automaton of the terms.
+def learn(docs: DataFrame, labels: DataFrame) -> tuple[Lexicon, np.ndarray | None]:
+    """Lexicon and calibration from at most TRAIN_ROWS labelled documents of the learning folds.
 
-    Null or empty text: no term, the score of such a text. Null id: hashed as an empty text, without a label. Null labels
-    and labels without a document are passed over; of several labels of an id the largest counts. Without labels of both
-    kinds every score is 0. Repeated rows are scored as often as they occur. An empty table gives an empty table.
+    Null labels and labels without a document are passed over; of several labels of an id the largest counts. Without
+    labels of both kinds there is no calibration.
     """
     marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("_id")).agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     chosen = marks.where(fold(F.col("_id"), FOLDS) != 0).orderBy(F.xxhash64("_id"), "_id").limit(TRAIN_ROWS)
@@ -274,9 +270,49 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     lexicon = learn_lexicon(train)
     got = _scored(train, lexicon).collect()
     toxic = np.array([r.toxic for r in got], float)
-    w = calibrate(np.array([r.total for r in got], float), np.array([r.most for r in got], float), toxic) if 0 < toxic.sum() < len(toxic) else None
-    z = F.lit(0.0) if w is None else 1 / (1 + F.exp(-(F.lit(float(w[0])) + F.lit(float(w[1])) * F.log1p("total") + F.lit(float(w[2])) * F.col("most"))))
-    return _scored(rows, lexicon).select("doc_id", (fold(F.col("doc_id"), FOLDS) == 0).alias("held_out"), z.cast("double").alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    known = 0 < toxic.sum() < len(toxic)
+    return lexicon, calibrate(np.array([r.total for r in got], float), np.array([r.most for r in got], float), toxic) if known else None
+
+
+def probability(w: np.ndarray | None, total, most):
+    if w is None:
+        return 0.0 * total
+    return 1 / (1 + np.exp(-np.clip(w[0] + w[1] * np.log1p(total) + w[2] * most, -700, 700)))
+
+
+def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """docs (doc_id, text) and labels (doc_id, toxic): doc_id, held_out, score, predicted.
+
+    Words that toxic rows use in many contexts and clean ones don't become weighted terms; all whole texts are then
+    scored through the automaton of the terms.
+
+    Null or empty text: no term, the score of such a text. Null id: hashed as an empty text, without a label. Without
+    labels of both kinds every score is 0. Repeated rows are scored as often as they occur. An empty table gives an
+    empty table.
+    """
+    lexicon, w = learn(docs, labels)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = np.array([lexicon.features(t.as_py() or "") for t in b.column("text")], float).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(probability(w, got[:, 0], got[:, 1]))], names=["doc_id", "score"])
+
+    scored = rows.mapInArrow(run, "doc_id long, score double")
+    return scored.select("doc_id", (fold(F.col("doc_id"), FOLDS) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """The rows of docs, with all their columns, whose score is below the threshold; see `score`."""
+    lexicon, w = learn(docs, labels)
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = np.array([lexicon.features(t.as_py() or "") for t in b.column(place)], float).reshape(-1, 2)
+            yield b.filter(pa.array(probability(w, got[:, 0], got[:, 1]) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op3_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
