@@ -40,7 +40,7 @@ class Encoder:
 
         self.tokenizer, self.known, self.older = Tokenizer.from_file(path), {}, {}
         self.beyond = re.compile("[^\x00-\u017e]")
-        self.marks = re.compile(r"(?:[^\w\s]|_)[.,](?:[ \n]|$)")
+        self.marks = re.compile(r"(?:[^\w\s]|[_\x1c-\x1f])[.,](?:[ \n]|$)")
         self.apart = re.compile(r"(.*?)((?:[^\w\s']|_){0,8})", re.DOTALL)
         # the byte-level alphabet: printable bytes stand for themselves, the rest for U+0100 and on
         plain = {b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174}
@@ -51,7 +51,7 @@ class Encoder:
         if latin:
             text = text.lower()
         text = text.replace("\n", " ")
-        if not self.marks.search(text):
+        if latin and not self.marks.search(text):
             text = text.replace(". ", " . ").replace(", ", " , ")
         runs = text.split(" ")
         if missing := set(runs).difference(self.known):
@@ -110,9 +110,9 @@ def _cutter(path: str, capacity: int, end_id: int):
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """Bin and offset of each item, in the order given.
 
-    With N(g) open bins of residual gap g, an item of length s goes where sum N(g)^2 becomes smallest: taking a bin of
-    gap g changes it by 2 N(g-s) - 2 N(g) + 2, or 1 - 2 N(g) if it fills the bin; a new bin by 2 N(C-s) + 1. Ties go to
-    the fullest bin.
+    With N(g) open bins of residual gap g, an item of length s goes to the open bin where sum N(g)^2 becomes smallest: a
+    bin of gap g changes it by 2 N(g-s) - 2 N(g) + 2, or by 1 - 2 N(g) if the item fills it. Ties go to the fullest bin.
+    A bin is opened where none has room: with the longest items first, opening one sooner only costs bins.
     """
     n = np.zeros(capacity + 1, dtype=np.int64)
     open_bins: list[list[int]] = [[] for _ in range(capacity + 1)]
@@ -127,7 +127,7 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
         change[have == 0] = 1 << 60
         at = int(change.argmin()) if len(change) else 0
         gap = at + s
-        if len(change) and change[at] <= 2 * n[capacity - s] + 1:
+        if len(change) and have[at]:
             b = open_bins[gap].pop()
             n[gap] -= 1
         else:
