@@ -15,8 +15,9 @@ from tessella.llm.common import cut
 from tessella.llm.toxicity import fold
 
 FOLDS, HELD_OUT, UNKNOWN = 4, 2, "und"
-#: Character n-grams of words with their borders, hashed to so many features.
-SIZES, FEATURES = (1, 2, 3), 1 << 15
+#: Character n-grams of one to three letters of words with their borders, hashed to so many features.
+FEATURE_BITS = 15
+FEATURES = 1 << FEATURE_BITS
 #: Rows that the classifier is fitted on, at most (those of the smallest hashes), and every how manyth sets the temperature.
 TRAIN_ROWS, CALIBRATE_EVERY = 3000, 5
 #: Follow-the-regularised-leader: learning rate, its smoothing, the elastic net's two penalties, passes.
@@ -24,40 +25,33 @@ ALPHA, BETA, L1, L2, EPOCHS = 0.3, 1.0, 1e-4, 1e-4, 3
 #: Term frequencies are shares of a text's n-grams, times this.
 SCALE = 100.0
 WORD = re.compile(r"[^\W\d_]+")
-REMEMBERED = 300_000
-
-
-def grams(word: str) -> np.ndarray:
-    w = f"^{word}$"
-    return np.array([zlib.crc32(w[i : i + n].encode()) % FEATURES for n in SIZES for i in range(len(w) - n + 1)], dtype=np.int32)
-
-
-class Words(dict):
-    """A worker's remembered words; starts anew when full. Very long words aren't kept."""
-
-    def __init__(self, make):
-        self.make = make
-
-    def __missing__(self, word):
-        if len(self) > REMEMBERED:
-            self.clear()
-        got = self.make(word)
-        if len(word) <= 64:
-            self[word] = got
-        return got
-
-
-def words(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+#: Words that are turned into features at once.
+AT_ONCE = 50_000
+
+
+def grams(text: str | None) -> Iterator[np.ndarray]:
+    """The features of all n-grams of the text's words, with repeats; a word is what stands between borders `^` and `$`."""
+    words = WORD.findall((text or "").lower())
+    for i in range(0, len(words), AT_ONCE):
+        c = np.frombuffer(("^" + "$^".join(words[i : i + AT_ONCE]) + "$").encode("utf-32-le"), np.uint32)
+        inside = c != ord("$")  # what begins with or crosses an end is no n-gram of a word
+        two, h = inside[:-1], c * np.uint32(0x9E3779B1)
+        parts = [h]
+        h = (h[:-1] ^ (h[:-1] >> np.uint32(15))) * np.uint32(0x85EBCA77) + c[1:] * np.uint32(0xC2B2AE3D)
+        parts.append(h[two])
+        h = (h[:-1] ^ (h[:-1] >> np.uint32(13))) * np.uint32(0x27D4EB2F) + c[2:] * np.uint32(0x165667B1)
+        parts.append(h[two[:-1] & two[1:]])
+        h = np.concatenate(parts)
+        yield (h ^ (h >> np.uint32(16))) * np.uint32(0x7FEB352D) >> np.uint32(32 - FEATURE_BITS)
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents that hold each feature."""
-    known, held, total = Words(grams), np.zeros(FEATURES, bool), np.zeros(FEATURES, np.int64)
+    held, total = np.zeros(FEATURES, bool), np.zeros(FEATURES, np.int64)
     for b in batches:
         for t in b.column(0):
-            for w in set(words(t.as_py())):
-                held[known[w]] = True
+            for g in grams(t.as_py()):
+                held[g] = True
             total += held
             held[:] = False
     at = np.flatnonzero(total)
@@ -65,12 +59,10 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known = Words(grams)
     for b in batches:
         at, share = [], []
         for t in b.column("text"):
-            ids = [known[w] for w in words(t.as_py())]
-            n = np.bincount(np.concatenate(ids), minlength=FEATURES) if ids else np.zeros(FEATURES, int)
+            n = sum((np.bincount(g, minlength=FEATURES) for g in grams(t.as_py())), np.zeros(FEATURES, np.int64))
             i = np.flatnonzero(n)
             at.append(i.astype(np.int32).tobytes())
             share.append((SCALE * n[i] / max(1, n.sum())).astype(np.float32).tobytes())
@@ -137,8 +129,8 @@ def identify(docs: DataFrame, held_out: int = HELD_OUT, folds: int = FOLDS) -> D
     """docs (doc_id, text, lang): doc_id, held_out, lang_pred, score.
 
     Document frequencies are counted over all documents of the learning folds that have a lang; the classifier is fitted
-    on at most TRAIN_ROWS of them and its temperature on a fifth of these; every whole text is then scored, word by word
-    (a text's logits are the mean of its n-grams').
+    on at most TRAIN_ROWS of them and its temperature on a fifth of these; every whole text is then scored (its logits are
+    the mean of its n-grams').
 
     Null text or text without a letter: `und` with score 0, which is also the answer when there is nothing to learn from.
     Null id: hashed as an empty text. Repeated rows are answered as often as they occur. An empty table gives an empty
@@ -156,31 +148,18 @@ def identify(docs: DataFrame, held_out: int = HELD_OUT, folds: int = FOLDS) -> D
     n = max(1, learn.count())
     idf = np.log((1 + n) / (1 + df)) + 1
     langs, w, t = fit(got, idf) if got else ([], np.zeros((FEATURES + 1, 0)), 1.0)
-    per_gram, bias = (SCALE * w[:-1] * idf[:, None] / t).astype(np.float32), w[-1] / t
+    per_gram, bias = SCALE * w[:-1] * idf[:, None] / t, w[-1] / t
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, at = np.zeros((1024, len(langs) + 1)), {}  # of each remembered word: sums of its n-grams' weights, their number
         for b in batches:
             pred, score = [], []
             for text in b.column("text"):
-                found = words(text.as_py())
-                if not found or not langs:
-                    pred.append(UNKNOWN)
-                    score.append(0.0)
-                    continue
-                if len(at) > REMEMBERED:
-                    at.clear()
-                for word in set(found).difference(at):
-                    g = grams(word)
-                    if len(at) == len(table):
-                        table = np.concatenate([table, np.zeros_like(table)])
-                    table[len(at), :-1], table[len(at), -1] = per_gram[g].sum(0), len(g)
-                    at[word] = len(at)
-                total = table[list(map(at.__getitem__, found))].sum(0)
-                p = softmax(total[:-1] / total[-1] + bias)
-                k = int(p.argmax())
-                pred.append(langs[k])
-                score.append(float(p[k]))
+                total, n = np.zeros(len(langs)), 0
+                for g in grams(text.as_py()) if langs else ():
+                    total, n = total + per_gram[g].sum(0), n + len(g)
+                p = softmax(total / n + bias) if n else None
+                pred.append(UNKNOWN if p is None else langs[int(p.argmax())])
+                score.append(0.0 if p is None else float(p.max()))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
     return rows.select("doc_id", "held_out", "text").mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double")
