@@ -10,7 +10,7 @@ from tessella.llm.common import SPACE, WORD, cut
 #: Fixed values of the contract: weights in turn, the share of all sizes, the most often a source may be used.
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
 #: Rows that a range of a source's hash keys holds on average.
-RANGE_ROWS = 50_000
+RANGE_ROWS = 4_096
 
 
 def n_words(text: Column) -> Column:
