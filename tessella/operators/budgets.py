@@ -40,7 +40,7 @@ def greedy(df: DataFrame, order: list[str], size: str, budget: int, out: str = "
     run = dealt.join(F.broadcast(at), "p").withColumn("run", F.col("start") + F.sum("s").over(w))
     first = run.where(F.col("run") > budget).agg(F.min("k").alias("k"), F.min(F.struct("k", F.col("run") - F.col("s"))).alias("x")).first()
     if first.k is None:
-        fits = narrow.select("k", F.lit(True).alias("fits"))
+        fits = narrow.select("k", F.lit(True).alias("_fits"))
         return _attach(df, order, fits, out)
     used = first.x[1]
     head = run.where(F.col("run") <= budget).select("k")
@@ -50,13 +50,13 @@ def greedy(df: DataFrame, order: list[str], size: str, budget: int, out: str = "
     folded = small.agg(F.array_sort(F.collect_list(F.struct("k", "s"))).alias("rows")).select(
         F.aggregate("rows", F.struct(F.lit(used).cast("bigint").alias("used"), F.array().cast(f"array<{small.schema['k'].dataType.simpleString()}>").alias("kept")), lambda a, x: F.when(a["used"] + x["s"] <= budget, F.struct((a["used"] + x["s"]).alias("used"), F.array_append(a["kept"], x["k"]).alias("kept"))).otherwise(a), lambda a: a["kept"]).alias("kept")
     )
-    fits = head.union(folded.select(F.explode("kept").alias("k"))).withColumn("fits", F.lit(True))
+    fits = head.union(folded.select(F.explode("kept").alias("k"))).withColumn("_fits", F.lit(True))
     return _attach(df, order, fits, out)
 
 
 def _attach(df: DataFrame, order: list[str], fits: DataFrame, out: str) -> DataFrame:
     on: Column | None = None
     for c in order:
-        e = F.col(c).eqNullSafe(F.col(f"k.{c}"))
+        e = F.col(c).eqNullSafe(F.col(f"_k.{c}"))
         on = e if on is None else on & e
-    return df.join(fits, on, "left").withColumn(out, F.coalesce("fits", F.lit(False))).drop("k", "fits")
+    return df.join(fits.withColumnRenamed("k", "_k"), on, "left").withColumn(out, F.coalesce("_fits", F.lit(False))).drop("_k", "_fits")
