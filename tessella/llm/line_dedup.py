@@ -14,8 +14,9 @@ def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with their shared lines taken out, plus n_lines and n_dropped (which replace columns of these names).
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text", counts: bool = True) -> DataFrame:
+    """The documents with their shared lines taken out, plus n_lines and n_dropped (which replace columns of these
+    names) if `counts`.
 
     Lines are exploded, normalised (white space stripped, A-Z lowered) and hashed to 128 bits; only hashes travel. Each
     hash's distinct documents are counted, and lines of a key of at least `min_chars` code points in at least `min_docs`
@@ -41,17 +42,14 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     gone = F.coalesce(F.col("_gone"), F.array().cast("array<int>"))
     stay = F.array_except(F.sequence(F.lit(0), n - 1), gone)  # by hash set, in order of position
     text = F.when(F.size(gone) == 0, F.coalesce(F.col("_text"), F.lit(""))).otherwise(F.array_join(F.transform(stay, lambda p: F.get(F.col("_lines"), p)), "\n"))
-    kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    return joined.select(
-        *(text.alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in kept),
-        n.cast("long").alias("n_lines"),
-        F.size(gone).cast("long").alias("n_dropped"),
-    )
+    made = {"n_lines": n.cast("long"), "n_dropped": F.size(gone).cast("long")} if counts else {}
+    kept = [c for c in docs.columns if c not in made]
+    return joined.select(*(text.alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in kept), *(c.alias(k) for k, c in made.items()))
 
 
 def without_shared_lines(docs: DataFrame) -> DataFrame:
     """The rows of docs, with all their columns, in the texts that `dedup_lines` leaves; n_chars follows where there is one."""
-    out = dedup_lines(docs)
+    out = dedup_lines(docs, counts=False)
     return (out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out).select(*docs.columns)
 
 

@@ -84,15 +84,15 @@ def remix(docs: DataFrame, share: float = SHARE, most: int = MOST) -> DataFrame:
     """
     names = docs.columns
     version = F.xxhash64(F.coalesce(F.col("text"), F.lit("")), F.col("source"))
-    each = Window.partitionBy("doc_id", "_version").orderBy("_version")  # equal rows of an id, one by one
-    rows = docs.withColumn("_version", version).withColumn("_turn", F.row_number().over(each))
-    sizes = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), version.alias("_version"))
-    taken = mix(sizes, share=share, most=most).withColumn("_turn", F.row_number().over(Window.partitionBy("doc_id", "_version").orderBy(F.desc("taken"))))
-    t = taken.where("taken > 0").select(F.col("doc_id").alias("_id"), F.col("_version").alias("_v"), F.col("_turn").alias("_t"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
-    joined = rows.join(t, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_version") == F.col("_v")) & (F.col("_turn") == F.col("_t")))
-    copies = joined.withColumn("_left", F.explode(F.transform(F.sequence(F.lit(1), F.ceil(F.col("_taken") / F.col("_size")).cast("int")), lambda i: F.least(F.col("_size"), F.col("_taken") - (i - 1) * F.col("_size")))))
+    each = Window.partitionBy("doc_id", "__mix_version").orderBy("__mix_version")  # equal rows of an id, one by one
+    rows = docs.withColumn("__mix_version", version).withColumn("__mix_turn", F.row_number().over(each))
+    sizes = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), version.alias("__mix_version"))
+    taken = mix(sizes, share=share, most=most).withColumn("__mix_turn", F.row_number().over(Window.partitionBy("doc_id", "__mix_version").orderBy(F.desc("taken"))))
+    t = taken.where("taken > 0").select(F.col("doc_id").alias("__mix_id"), F.col("__mix_version").alias("__mix_v"), F.col("__mix_turn").alias("__mix_t"), F.col("size").alias("__mix_size"), F.col("taken").alias("__mix_taken"))
+    joined = rows.join(t, F.col("doc_id").eqNullSafe(F.col("__mix_id")) & (F.col("__mix_version") == F.col("__mix_v")) & (F.col("__mix_turn") == F.col("__mix_t")))
+    copies = joined.withColumn("__mix_left", F.explode(F.transform(F.sequence(F.lit(1), F.ceil(F.col("__mix_taken") / F.col("__mix_size")).cast("int")), lambda i: F.least(F.col("__mix_size"), F.col("__mix_taken") - (i - 1) * F.col("__mix_size")))))
     pieces = F.split(F.ltrim(F.col("text"), F.lit(SPACE)), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
-    text = F.when(F.col("_left") == F.col("_size"), F.col("text")).otherwise(F.rtrim(F.array_join(F.slice(pieces, F.lit(1), F.col("_left").cast("int")), ""), F.lit(SPACE)))
+    text = F.when(F.col("__mix_left") == F.col("__mix_size"), F.col("text")).otherwise(F.rtrim(F.array_join(F.slice(pieces, F.lit(1), F.col("__mix_left").cast("int")), ""), F.lit(SPACE)))
     out = copies.withColumn("text", text)
     return (out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out).select(*names)
 

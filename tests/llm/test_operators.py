@@ -361,3 +361,17 @@ def test_components_of_paths_and_stars(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 100 for i in range(100, 161)}, **{i: 7 for i in [7, *range(200, 400)]}, 2: 2, 3: 2}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_clashing_names(spark):
+    """Columns named like the operators' own stay what they are."""
+    names = ["size", "taken", "component_id", "total", "most", "_id", "_row", "key", "piece", "n_dropped", "_t", "score"]
+    data = [(i, f"one two three four five {i % 3}", "s", *(f"{n}{i}" for n in names)) for i in range(6)]
+    d = spark.createDataFrame(data, "doc_id long, text string, source string, " + ", ".join(f"`{n}` string" for n in names))
+    labels = spark.createDataFrame([(1, 0)], "doc_id long, toxic int")
+    for out in (toxicity.drop_toxic(d, labels), jaccard.keep_one(d), mixing.remix(d), line_dedup.without_shared_lines(d)):
+        assert out.columns == d.columns
+        assert all(r[n] == f"{n}{r.doc_id}" for r in out.collect() for n in names)
+    for op in (line_dedup.op1_line_dedup, pii.op2_pii, packing.op5_packing, mixing.op7_mixing, licenses.op9_license_scan, jaccard.op10_jaccard_join):
+        op(d).collect()
+    language.op6_language_id(d.withColumn("lang", F.lit("en"))).collect()
