@@ -9,9 +9,13 @@ from tessella.plans.lineage import cut
 
 
 def within_count(df: DataFrame, order: list[str], most: int, out: str = "kept") -> DataFrame:
-    """out: whether a row is among the first `most` in order. A top-k picks the last row that fits; no global window."""
-    last = df.select(*order).orderBy(*order).limit(most).agg(F.max(F.struct(*order)).alias("_last"))
-    return df.crossJoin(F.broadcast(last)).withColumn(out, F.coalesce(F.struct(*order) <= F.col("_last"), F.lit(False))).drop("_last")
+    """out: whether a row is among the first `most` in order. A top-k tells the last row that fits; no global window."""
+    last = df.select(*order).orderBy(*order).limit(most).agg(F.max(F.struct(*order)).alias("last")).first().last
+    if last is None:
+        return df.withColumn(out, F.lit(False))
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    border = F.struct(*(F.lit(last[c]).cast(kinds[c]).alias(c) for c in order))
+    return df.withColumn(out, F.coalesce(F.struct(*order) <= border, F.lit(False)))
 
 
 def greedy(df: DataFrame, order: list[str], size: str, budget: int, out: str = "kept") -> DataFrame:

@@ -19,7 +19,8 @@ from tessella.sources import jsonl, nested_zip
 
 PRODUCT_FIELDS = ("archive", "version", "build_number", "product_code", "sha256", "since_build", "until_build", "plugin_id", "plugin_version")
 TABLES = {"resources": RESOURCE, "exclusions": EXCLUSION, "collisions": COLLISION, "units": UNIT, "stale_units": STALE_UNIT}
-DESCRIPTOR = "<idea-plugin><id>{{id}}</id><version>{{version}}</version><idea-version since-build=\"{{since}}\" until-build=\"{{until}}\"/><change-notes><![CDATA[{{notes}}]]></change-notes></idea-plugin>"
+#: Used where config/descriptor.xml, a template with the same five placeholders, is missing.
+DESCRIPTOR = '<plugin><id>{{id}}</id><version>{{version}}</version><product-version since-build="{{since}}" until-build="{{until}}"/><change-notes><![CDATA[{{notes}}]]></change-notes></plugin>'
 
 
 class Workspace:
@@ -141,7 +142,8 @@ class Workspace:
         if {str(x.relative_to(tree)): x.read_bytes() for x in tree.rglob("*") if x.is_file()} != files:
             raise EngineError("the generated tree isn't what the units give; generate first")
         notes = report.change_notes((self.root / "CHANGELOG.md").read_text("utf-8"), p["plugin_version"])
-        descriptor = publish.fill_descriptor(DESCRIPTOR, {"id": p["plugin_id"], "version": p["plugin_version"], "since": p["since_build"], "until": p["until_build"], "notes": notes})
+        own = self.root / "config/descriptor.xml"
+        descriptor = publish.fill_descriptor(own.read_text("utf-8") if own.exists() else DESCRIPTOR, {"id": p["plugin_id"], "version": p["plugin_version"], "since": p["since_build"], "until": p["until_build"], "notes": notes})
         data = publish.package(files, "localization", descriptor)
         nested_zip.verify_zip(data)
         publish.write_bytes(self.root / "dist/localization.zip", data)
