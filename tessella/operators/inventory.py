@@ -39,20 +39,25 @@ def missing_selections(resources: DataFrame, selections: DataFrame) -> DataFrame
     return selections.join(resources.select("resource_path", F.col("container").alias("chosen")), ["resource_path", "chosen"], "left_anti")
 
 
+def _several(column: str):
+    """Whether a group has several values: extremes of 64-bit hashes, which stay in a hash aggregate and need no expansion."""
+    return F.min(F.xxhash64(column)) < F.max(F.xxhash64(column))
+
+
 def collisions(resources: DataFrame) -> DataFrame:
     """Paths in more than one container, with their resources in order."""
     names = [c for c in resources.columns]
     member = F.struct("container", *(c for c in names if c != "container"))
-    g = resources.groupBy("resource_path").agg(F.array_sort(F.collect_list(member)).alias("resources"), F.countDistinct("container").alias("containers"), F.countDistinct("source_sha256").alias("contents"))
-    same = F.col("contents") == 1
+    g = resources.groupBy("resource_path").agg(F.array_sort(F.collect_list(member)).alias("resources"), _several("container").alias("several"), (~_several("source_sha256")).alias("same"))
+    same = F.col("same")
     ordered = F.transform("resources", lambda r: F.struct(*(r[c].alias(c) for c in names)))
-    return g.where("containers > 1").select("resource_path", ordered.alias("resources"), same.alias("content_identical"), (~same).alias("unresolved"))
+    return g.where("several").select("resource_path", ordered.alias("resources"), same.alias("content_identical"), (~same).alias("unresolved"))
 
 
 def collision_counts(resources: DataFrame) -> DataFrame:
     """As `collisions`, with numbers in place of lists: nothing is gathered, so a path in many containers costs no more."""
-    g = resources.groupBy("resource_path").agg(F.count(F.lit(1)).alias("members"), F.countDistinct("container").alias("containers"), F.countDistinct("source_sha256").alias("contents"))
-    return g.where("containers > 1").select("resource_path", "members", "containers", (F.col("contents") == 1).alias("content_identical"))
+    g = resources.groupBy("resource_path").agg(F.count(F.lit(1)).alias("members"), F.countDistinct("container").alias("containers"), (~_several("source_sha256")).alias("content_identical"))
+    return g.where("containers > 1").select("resource_path", "members", "containers", "content_identical")
 
 
 def check_claims(claimed: DataFrame, derived: DataFrame) -> DataFrame:

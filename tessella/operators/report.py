@@ -25,7 +25,8 @@ def zero_filled(df: DataFrame, column: str, values) -> DataFrame:
 
 
 def findings_by_code(units: DataFrame) -> DataFrame:
-    return units.select(F.explode("findings").alias("f")).groupBy("f.code", "f.severity").agg(F.count(F.lit(1)).alias("n"))
+    # outer, as Spark would else make a filter of the findings too, and compute them twice
+    return units.select(F.explode_outer("findings").alias("f")).where("f IS NOT NULL").groupBy("f.code", "f.severity").agg(F.count(F.lit(1)).alias("n"))
 
 
 def workflow_state(batch_active, any_open, any_translated, any_unit, generated, packaged):

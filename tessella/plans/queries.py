@@ -369,7 +369,7 @@ def _parts(t):
 
 @query(f"SELECT id, unnest({_CODES}) AS code FROM ({_PARTS})")
 def message_format_codes(t):
-    return _parts(t).select("id", F.explode(V.finding_codes(F.col("source"), F.col("target"))).alias("code"))
+    return _parts(t).select("id", F.explode_outer(V.finding_codes(F.col("source"), F.col("target"))).alias("code")).where("code IS NOT NULL")
 
 
 @query(f"SELECT code, CASE WHEN code = 'length_ratio' THEN 'warning' ELSE 'blocking' END AS severity, count(*)::BIGINT AS n FROM (SELECT unnest({_CODES}) AS code FROM ({_PARTS})) GROUP BY code")
