@@ -138,7 +138,8 @@ def exact_top(embeddings: DataFrame, k: int = TOP, scale: float = 64.0, query: C
             v, least, ids = matrix(b.column("v"), dim), b.column("score").to_numpy(), b.column("query_id").to_numpy()
             own = (v**2).sum(1)
             d = away(v, own, False)
-            radius = np.sqrt(np.maximum(0, own + most - 2 * least)) * (1 + 1e-9) + 1e-6
+            # room for rounding: a distance is the root of a difference of numbers of the size of `most`
+            radius = np.sqrt(np.maximum(0, own + most - 2 * least)) * (1 + 1e-9) + 1e-6 * (1 + np.sqrt(most))
             for (c, r), (low, high, s) in blocks.items():
                 at = np.flatnonzero((low <= d[:, c] + radius) & (high >= d[:, c] - radius))
                 for sub in range(s) if len(at) else ():
