@@ -15,7 +15,7 @@ from tessella.llm.links import components
 #: Words of a shingle; the threshold as a fraction.
 WIDTH, SIMILAR = 5, (75, 100)
 #: Shingles that a task gathers on average, and that a worker holds before it sends them on.
-BUCKET_TOKENS, HELD_TOKENS = 2_000_000, 2_000_000
+BUCKET_TOKENS, HELD_TOKENS = 1_000_000, 1_000_000
 #: A shingle is frequent if it is in more than one of so many texts and in that many of those a worker holds.
 RARE, LEAST_SEEN = 1024, 8
 #: Sets that a trie holds at most on average.
@@ -353,7 +353,7 @@ def join(docs: DataFrame) -> DataFrame:
     of_docs = prints.where(~F.col("frequent"))
     classes = cut(of_docs.where(F.col("n") > 0).groupBy("key").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n")))
     n_classes, total = classes.agg(F.count(F.lit(1)), F.sum("n")).first()
-    buckets, parts = max(1, -(-(total or 0) // BUCKET_TOKENS)), max(1, -(-(total or 0) // (4 * BUCKET_TOKENS)), -(-n_classes // 32768))
+    buckets, parts = max(1, -(-(total or 0) // BUCKET_TOKENS)), max(1, -(-(total or 0) // (8 * BUCKET_TOKENS)), -(-n_classes // 32768))
     # at most RARE times a text's mean number of shingles
     often = prints.where("frequent").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= max(LEAST_SEEN, n_classes / RARE)).select("key").collect()
     frequent = np.unique(token_ids(np.array([r.key for r in often], np.int64).view(np.uint64), buckets))
@@ -373,7 +373,7 @@ def join(docs: DataFrame) -> DataFrame:
     pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(F.col("node").alias("key"), "component", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
     groups_of_sets = sets.join(pairs, "key").select("key", "n", "tokens", "component", "one", "two", "block")
     links = groups_of_sets.groupBy("component", "one", "two").applyInArrow(_join, "a long, b long")
-    joined = components(links)
+    joined = components(links, contract=False)  # a second Python worker a task would only cost memory
 
     with_component = classes.join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     ids = cut(with_component.groupBy("component").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("size")))
@@ -387,12 +387,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     A row without words stays. Of equal rows of one id one stays; rows of an id with other texts are judged by their id.
     """
-    kept = cut(join(docs.select("doc_id", "text")).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_kept")).agg(F.count(F.lit(1)).alias("_rows")))
-    out = docs.join(kept.select("_kept"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    if kept.where("_rows > 1").isEmpty():
+    kept = cut(join(docs.select("doc_id", "text")).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("__join_kept")).agg(F.count(F.lit(1)).alias("__join_rows")))
+    out = docs.join(kept.select("__join_kept"), F.col("doc_id").eqNullSafe(F.col("__join_kept")), "left_semi")
+    if kept.where("__join_rows > 1").isEmpty():
         return out
     names = docs.columns
-    return out.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).select(*names)
+    return out.withColumn("__join_text", F.xxhash64("text")).dropDuplicates(["doc_id", "__join_text"]).select(*names)
 
 
 def op10_jaccard_join(docs: DataFrame) -> DataFrame:

@@ -37,14 +37,15 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64())], names=["a", "b"])
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, contract: bool = True) -> DataFrame:
     """links (a long, b long) -> (node, component): the smallest node that can be reached; nodes without links are left out.
 
     Large and small stars in turn: a node's neighbours are linked to the smallest of them until all are linked to
-    their component's smallest. Batches are contracted first; a star's centre, which may have any number of neighbours, is
-    looked up by `lookup`. Each round's links are materialised.
+    their component's smallest. Batches are contracted first, unless `contract` says that they are forests already; a
+    star's centre, which may have any number of neighbours, is looked up by `lookup`. Each round's links are materialised.
     """
-    links = cut(links.select("a", "b").mapInArrow(_contract, "a long, b long").distinct())
+    links = links.select("a", "b")
+    links = cut((links.mapInArrow(_contract, "a long, b long") if contract else links).distinct())
     before = None
     while True:
         both = links.union(links.select("b", "a")).toDF("u", "v")

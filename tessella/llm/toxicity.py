@@ -100,7 +100,7 @@ class Automaton:
             key = (states, c)
             got = self.moves.get(key)
             if got is None:
-                if len(self.moves) > 200_000:
+                if len(self.moves) > 50_000:
                     self.moves.clear()
                 got = self.moves[key] = self._move(states, c)
             states = got
@@ -126,7 +126,7 @@ class Lexicon:
     def weight(self, word: str) -> float:
         got = self.known.get(word)
         if got is None:
-            if len(self.known) > 400_000:
+            if len(self.known) > 150_000:
                 self.known.clear()
             got = self.known[word] = self._weight(word)
         return got
@@ -179,14 +179,15 @@ def fold(doc_id: Column, n: int) -> Column:
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        seen = set()
-        for text, toxic in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(), strict=True):
-            words = TOKEN.findall((text or "").lower())
-            first = dict(zip(reversed(words), reversed(["", *words[:-1]]), strict=True))
-            seen.update((w, p, toxic) for w, p in first.items() if len(w) <= 40)
-        cols = list(zip(*seen, strict=True)) or [[], [], []]
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int32())], names=["word", "before", "toxic"])
+    for batch in batches:
+        for b in (batch.slice(i, 250) for i in range(0, batch.num_rows, 250)):  # few at once: there is a row for each word
+            seen = set()
+            for text, toxic in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(), strict=True):
+                words = TOKEN.findall((text or "").lower())
+                first = dict(zip(reversed(words), reversed(["", *words[:-1]]), strict=True))
+                seen.update((w, p, toxic) for w, p in first.items() if len(w) <= 40)
+            cols = list(zip(*seen, strict=True)) or [[], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int32())], names=["word", "before", "toxic"])
 
 
 def learn_lexicon(train: DataFrame) -> Lexicon:
