@@ -18,8 +18,8 @@ WIDTH, SIMILAR = 5, (75, 100)
 BUCKET_TOKENS, HELD_TOKENS = 1_000_000, 1_000_000
 #: A shingle is frequent if it is in more than one of so many texts and in that many of those a worker holds.
 RARE, LEAST_SEEN = 1024, 8
-#: Sets that a trie holds at most on average.
-TRIE_SETS = 2048
+#: Sets that a trie holds at most on average, and links that one copy of a centre's set is compared for.
+TRIE_SETS, CENTRE_LINKS = 2048, 4096
 LOW = np.uint64((1 << 40) - 1)
 
 
@@ -299,7 +299,9 @@ def _join(table: pa.Table) -> pa.Table:
     raw = [np.frombuffer(t, np.uint64) for t in table["tokens"].to_pylist()]
     # places in the global order stand in for shingles, which the sets list in this order
     rank = _ranks([raw[i] for i in order])
-    parent = list(range(len(keys)))
+    # sets that are known to be connected start as one
+    known, first, place = np.unique(table["known"].to_numpy()[order], return_index=True, return_inverse=True)
+    parent = [int(first[p]) for p in place]
 
     def root(x: int) -> int:
         while parent[x] != x:
@@ -334,15 +336,60 @@ def _ranks(sets: list[np.ndarray]) -> list[np.ndarray]:
     return [np.sort(p) for p in np.split(place[inverse], cuts)]
 
 
+def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        keep = [similar(len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True)), n, m) for x, y, n, m in zip(*(b.column(c).to_pylist() for c in ("tokens", "_tokens", "n", "_n")), strict=True)]
+        yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
+def _links_to_centres(near: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): of each set's candidates the smallest, if it is similar. A centre's set is copied once for every CENTRE_LINKS."""
+    one = near.groupBy("a").agg(F.min("b").alias("b"))
+    degrees = cut(one.groupBy("b").agg(F.count(F.lit(1)).alias("degree")).withColumn("copies", F.ceil(F.col("degree") / CENTRE_LINKS).cast("int")))
+    dealt = lookup(one, degrees, "b", "degree", F.xxhash64("a")).withColumn("copy", F.pmod(F.xxhash64("a"), F.col("copies")).cast("int")).select("a", "b", "copy")
+    centres = sets.join(degrees, sets["key"] == degrees["b"]).select("b", F.col("n").alias("_n"), F.col("tokens").alias("_tokens"), F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
+    pairs = dealt.join(sets.select(F.col("key").alias("a"), "n", "tokens"), "a").join(centres, ["b", "copy"]).select("a", "b", "n", "tokens", "_n", "_tokens")
+    return cut(pairs.mapInArrow(_verified, "a long, b long"))
+
+
+def _groups(groups: DataFrame, merged: DataFrame) -> DataFrame:
+    """(key, known, component, one, two, block): where each set is to be compared.
+
+    Of a group of candidates that is connected already nothing is left to do. Otherwise the sets of large connected parts
+    lie in blocks of their own, the rest in mixed ones; all pairs of blocks meet but those inside a part.
+    """
+    rows = groups.join(merged.withColumnRenamed("component", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
+    parts = cut(rows.groupBy("component", "part").agg(F.count(F.lit(1)).alias("sets")))
+    large = F.col("sets") > TRIE_SETS
+    blocks = F.ceil(F.col("sets") / TRIE_SETS).cast("int")
+    of_group = parts.groupBy("component").agg(
+        F.count(F.lit(1)).alias("parts"), F.sum("sets").alias("members"),
+        F.ceil(F.coalesce(F.sum(F.when(~large, F.col("sets"))), F.lit(0)) / TRIE_SETS).cast("int").alias("mixed"),
+        F.collect_list(F.when(large, F.struct("part", blocks.alias("blocks")))).alias("larges"),
+    )
+    of_group = cut(of_group.where("parts > 1"))
+    placed = lookup(lookup(rows, parts.drop("component"), "part", "sets", F.xxhash64("node")), of_group, "component", "members", F.xxhash64("node")).where("parts > 1")
+    hashed = F.xxhash64("node")
+    own = F.when(large, F.struct(F.col("part").alias("of"), F.pmod(hashed, blocks).cast("int").alias("block"))).otherwise(F.struct(F.lit(-1).cast("long").alias("of"), F.pmod(hashed, F.col("mixed")).cast("int").alias("block")))
+    placed = placed.withColumn("own", own)
+    struct = "array<struct<of:bigint,block:int>>"
+    upto = lambda n, of: F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: F.struct(of.alias("of"), i.alias("block")))).otherwise(F.array().cast(struct))
+    others = F.flatten(F.transform(F.filter("larges", lambda x: x["part"] != F.col("own.of")), lambda x: upto(x["blocks"], x["part"])))
+    met = placed.withColumn("other", F.explode(F.concat(upto(F.col("mixed"), F.lit(-1).cast("long")), others)))
+    return met.select(F.col("node").alias("key"), F.col("part").alias("known"), "component", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), F.col("own.block").alias("block"))
+
+
 def join(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text): doc_id, n_shingles, component_id, copies (documents of the same set).
 
     Documents link when their sets of 5-word shingles are similar; component_id is the smallest doc_id that links reach.
     Equal sets become one class first. Shingles are counted over all classes; a class keeps those that others have too
     and goes on only if they are enough for a similar class to exist. In the order of these counts, similar classes share
-    a shingle of their prefixes, which brings candidates together as stars, not pairs. Connected candidates are joined in
-    prefix trees: overlaps are summed along shared paths, and a branch is left as soon as what remains can't make up
-    the threshold. Only links that connect are kept. Groups of more than TRIE_SETS sets are joined block by block.
+    a shingle of their prefixes, which brings candidates together as stars, not pairs. Each set is compared with one
+    centre first, which connects most copies; what connected candidates that leaves apart is joined in prefix trees:
+    overlaps are summed along shared paths, and a branch is left as soon as what remains can't make up the threshold. Only
+    links that connect are kept. Groups of more than TRIE_SETS sets are joined block by block, but for blocks of sets
+    that are connected already.
 
     Text with fewer than five words is one shingle; without words it is an empty set, linked with nothing, its own
     component. Null id: its rows take part; a component of null ids only has a null id. Rows that repeat an id are rows of
@@ -364,16 +411,13 @@ def join(docs: DataFrame) -> DataFrame:
 
     entries = cut(sets.mapInArrow(_entries, "token long, key long"))
     stars = cut(entries.groupBy("token").agg(F.min("key").alias("centre"), F.count(F.lit(1)).alias("several")).where("several > 1"))
-    near = lookup(entries, stars, "token", "several", F.xxhash64("key")).where(F.col("centre") != F.col("key")).select(F.col("key").alias("a"), F.col("centre").alias("b")).distinct()
+    near = cut(lookup(entries, stars, "token", "several", F.xxhash64("key")).where(F.col("centre") != F.col("key")).select(F.col("key").alias("a"), F.col("centre").alias("b")).distinct())
     groups = cut(components(near))
-    many = cut(groups.groupBy("component").agg(F.count(F.lit(1)).alias("members")))
-    sized_groups = lookup(groups, many, "component", "members", F.xxhash64("node"))
-    blocks = F.ceil(F.col("members") / TRIE_SETS).cast("int")
-    placed = sized_groups.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(F.col("node").alias("key"), "component", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
-    groups_of_sets = sets.join(pairs, "key").select("key", "n", "tokens", "component", "one", "two", "block")
+    to_centres = _links_to_centres(near, sets)
+    pairs = _groups(groups, components(to_centres, contract=False))
+    groups_of_sets = sets.join(pairs, "key").select("key", "n", "tokens", "component", "one", "two", "block", "known")
     links = groups_of_sets.groupBy("component", "one", "two").applyInArrow(_join, "a long, b long")
-    joined = components(links, contract=False)  # a second Python worker a task would only cost memory
+    joined = components(links.union(to_centres), contract=False)  # a second Python worker a task would only cost memory
 
     with_component = classes.join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     ids = cut(with_component.groupBy("component").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("size")))

@@ -333,9 +333,10 @@ def test_jaccard(spark, docs, empty):
     assert jaccard.op10_jaccard_join(empty).collect() == []
 
 
-@pytest.mark.parametrize("trie_sets", [2048, 7])
+@pytest.mark.parametrize("trie_sets", [2048, 7, 40])
 def test_jaccard_near_the_threshold(spark, monkeypatch, trie_sets):
     monkeypatch.setattr(jaccard, "TRIE_SETS", trie_sets)
+    monkeypatch.setattr(jaccard, "CENTRE_LINKS", trie_sets // 2)
     r = random.Random(6)
     base = [[f"w{r.randrange(5000)}" for _ in range(r.randint(8, 80))] for _ in range(40)]
     common = [f"c{i}" for i in range(30)]
