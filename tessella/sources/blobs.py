@@ -2,16 +2,27 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: SHA-256 of nothing.
+EMPTY = hashlib.sha256(b"").hexdigest()
+
+
 def read_blobs(spark: SparkSession, folder: str) -> DataFrame:
     """(source_sha256, content, size); a file whose name isn't its hash is an error."""
     b = spark.read.format("binaryFile").load(folder)
     name = F.regexp_extract("path", r"([^/]+)$", 1)
     good = F.assert_true(name == F.sha2("content", 256), F.concat(F.lit("wrong content: "), name))
-    return b.select(name.alias("source_sha256"), "content", F.col("length").alias("size"), good.isNull().alias("_ok")).where("_ok").drop("_ok")
+    out = b.select(name.alias("source_sha256"), "content", F.col("length").alias("size"), good.isNull().alias("_ok")).where("_ok").drop("_ok")
+    # Spark reads no splits of an empty file, so the empty blob is looked for by name
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder, EMPTY)
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        out = out.union(spark.createDataFrame([(EMPTY, bytearray(), 0)], "source_sha256 string, content binary, size bigint"))
+    return out
 
 
 def attach(resources: DataFrame, blobs: DataFrame) -> DataFrame:

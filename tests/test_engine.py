@@ -240,3 +240,31 @@ def test_query(spark, name):
     assert sorted(got.columns) == cols
     rows = lambda d: sorted(repr([_plain(v) for v in r]) for r in d[cols].astype(object).itertuples(index=False))
     assert rows(got) == rows(want)
+
+
+def test_blobs(spark, tmp_path):
+    import hashlib
+
+    from tessella.sources import blobs
+
+    for data in (b"a", b"", b"bcd"):
+        (tmp_path / hashlib.sha256(data).hexdigest()).write_bytes(data)
+    b = blobs.read_blobs(spark, str(tmp_path))
+    assert sorted(bytes(r.content) for r in b.collect()) == [b"", b"a", b"bcd"]
+    res = b.select(F.lit("r").alias("resource_id"), "source_sha256", F.when(F.col("size") == 3, 4).otherwise(F.col("size")).alias("size"))
+    assert sorted(r.content is None for r in blobs.attach(res, b).collect()) == [False, False, True]
+    (tmp_path / ("0" * 64)).write_bytes(b"x")
+    with pytest.raises(Exception, match="wrong content"):
+        blobs.read_blobs(spark, str(tmp_path)).collect()
+
+
+def test_imports_once(spark, tmp_path):
+    from tessella.streaming.queue import import_into
+
+    v = publish.Versions(tmp_path / "state")
+    v.publish({"units": spark.createDataFrame([("1", "a"), ("2", "b")], "id string, target string")})
+    spark.createDataFrame([("2", "x"), ("9", "y")], "id string, target string").write.parquet(str(tmp_path / "in"))
+    for _ in range(2):
+        s = spark.readStream.schema("id string, target string").parquet(str(tmp_path / "in"))
+        import_into(str(tmp_path / "state"), str(tmp_path / "cp"), s).awaitTermination(60)
+    assert sorted(tuple(r) for r in spark.read.parquet(str(v.current() / "units")).collect()) == [("1", "a"), ("2", "x")]
