@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WIDTH, CONTAINED = 5, 0.75
-#: A window's length in shingles, by the length of the templates that it serves; windows start at every half of it.
-SCALES = ((1, 1), (6, 9), (24, 36))
+#: A window's length in shingles, by the length of the templates that it serves; windows start at every half of it. Minima
+#: are taken over blocks first, of which windows are made.
+SCALES, BLOCK = ((1, 1), (6, 9), (24, 36)), 3
 #: Bands of one MinHash each: a window and a template's window of Jaccard similarity j share a band with 1 - (1 - j)^4,
 #: which is 99.6 % at 0.75.
 BANDS = 4
@@ -54,13 +55,26 @@ def _permuted(hashes: Column, band: int) -> Column:
     return F.transform(hashes, lambda h: F.xxhash64(h, F.lit(band)))
 
 
-def _minima(permuted: Column, length: int, step: int) -> Column:
-    """The MinHash of each window; what is shorter than a window is one."""
-    last = F.greatest(F.lit(0), F.size(permuted) - length)
-    starts = F.concat(F.sequence(F.lit(0), last, F.lit(step)), F.when(last % step == 0, F.array().cast("array<int>")).otherwise(F.array(last)))
+def _all_minima(permuted: Column, length: int) -> Column:
+    """The MinHash of each window of a template; what is shorter than a window is one."""
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(permuted) - length))
     return F.when(F.size(permuted) == 0, F.array().cast("array<bigint>")).otherwise(F.transform(starts, lambda i: F.array_min(F.slice(permuted, i + 1, length))))
 
 
+def _blocks(permuted: Column) -> Column:
+    starts = F.when(F.size(permuted) > 0, F.sequence(F.lit(1), F.size(permuted), F.lit(BLOCK))).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.array_min(F.slice(permuted, i, BLOCK)))
+
+
+def _minima(blocks: Column, length: int) -> Column:
+    """The MinHash of each window of a text, from its blocks' minima; the last windows may be shorter."""
+    n, step = length // BLOCK, length // BLOCK // 2
+    starts = F.when(F.size(blocks) > 0, F.sequence(F.lit(0), F.size(blocks) - 1, F.lit(step))).otherwise(F.array().cast("array<int>"))
+    if n == 2:
+        return F.transform(starts, lambda i: F.least(F.get(blocks, i), F.get(blocks, i + 1)))
+    return F.transform(starts, lambda i: F.array_min(F.slice(blocks, i + 1, n)))
+
+
 def _kept_apart(df: DataFrame, **columns: Column) -> DataFrame:
     """Columns that are made once: what uses them in a lambda can't pull their making into it, past the generator."""
     return df.withColumn("_made", F.explode(F.array(F.struct(*(c.alias(n) for n, c in columns.items()))))).select(*df.columns, *(F.col(f"_made.{n}").alias(n) for n in columns))
@@ -71,7 +85,7 @@ def _index(spark: SparkSession, templates: dict[str, str]) -> tuple[DataFrame, d
     t = _kept_apart(spark.createDataFrame(sorted(templates.items()), "license string, body string").coalesce(1), words=_words(F.col("body")))
     t = _kept_apart(t, parts=F.array_distinct(_shingles(F.col("words"))), hashes=_hashes(F.col("words")))
     t = _kept_apart(t, **{f"p{b}": _permuted(F.col("hashes"), b) for b in range(BANDS)})
-    columns = {f"m{length}_{b}": _minima(F.col(f"p{b}"), length, 1) for length, _ in SCALES for b in range(BANDS if length > 1 else 1)}
+    columns = {f"m{length}_{b}": _all_minima(F.col(f"p{b}"), length) for length, _ in SCALES for b in range(BANDS if length > 1 else 1)}
     rows = t.select("license", "parts", *(c.alias(n) for n, c in columns.items())).collect()
     if sum(len(r.parts) for r in rows) > MOST_SHINGLES:
         raise ValueError(f"the templates have more than {MOST_SHINGLES} shingles")
@@ -98,12 +112,11 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, contained: fl
     table, index = _index(docs.sparkSession, TEMPLATES if templates is None else templates)
     rows = _kept_apart(docs.select("doc_id", "text"), words=_words(F.col("text"))).select("doc_id", "words")
     rows = _kept_apart(rows, hashes=_hashes(F.col("words")))
-    used = sorted({b for length, b in index if length > 1})
-    rows = _kept_apart(rows, **{f"p{b}": _permuted(F.col("hashes"), b) for b in used}) if used else rows
-    if (1, 0) in index and "p0" not in rows.columns:
-        rows = _kept_apart(rows, p0=_permuted(F.col("hashes"), 0))
+    bands = sorted({b for _, b in index})
+    rows = _kept_apart(rows, **{f"p{b}": _permuted(F.col("hashes"), b) for b in bands}) if bands else rows
+    rows = _kept_apart(rows, **{f"b{b}": _blocks(F.col(f"p{b}")) for b in bands}) if any(length > 1 for length, _ in index) else rows
     none = F.array().cast("array<bigint>")
-    keys = {f"k{length}_{b}": F.filter(_minima(F.col(f"p{b}"), length, max(1, length // 2)), lambda m: m.isin(*wanted)) for (length, b), wanted in index.items()}
+    keys = {f"k{length}_{b}": F.filter(F.col(f"p{b}") if length == 1 else _minima(F.col(f"b{b}"), length), lambda m: m.isin(*wanted)) for (length, b), wanted in index.items()}
     rows = rows.select("doc_id", "words", *(c.alias(n) for n, c in keys.items()))
     rows = rows.where(F.size(F.concat(none, *(F.col(n) for n in keys))) > 0)
 
