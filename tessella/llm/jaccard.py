@@ -414,10 +414,10 @@ def join(docs: DataFrame) -> DataFrame:
     near = cut(lookup(entries, stars, "token", "several", F.xxhash64("key")).where(F.col("centre") != F.col("key")).select(F.col("key").alias("a"), F.col("centre").alias("b")).distinct())
     groups = cut(components(near))
     to_centres = _links_to_centres(near, sets)
-    pairs = _groups(groups, components(to_centres, contract=False))
+    pairs = _groups(groups, components(to_centres))
     groups_of_sets = sets.join(pairs, "key").select("key", "n", "tokens", "component", "one", "two", "block", "known")
     links = groups_of_sets.groupBy("component", "one", "two").applyInArrow(_join, "a long, b long")
-    joined = components(links.union(to_centres), contract=False)  # a second Python worker a task would only cost memory
+    joined = components(links.union(to_centres))
 
     with_component = classes.join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     ids = cut(with_component.groupBy("component").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("size")))

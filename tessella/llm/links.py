@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from tessella.llm.common import cut, lookup
 
 
+#: Links that one task contracts, on average.
+TASK_LINKS = 250_000
+
+
 def forest(a: np.ndarray, b: np.ndarray) -> dict[int, int]:
     """Node -> smallest node that these links reach."""
     parent: dict[int, int] = {}
@@ -30,32 +34,39 @@ def forest(a: np.ndarray, b: np.ndarray) -> dict[int, int]:
 
 
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of a batch as stars around its components' smallest nodes."""
-    for batch in batches:
-        got = [(x, r) for x, r in forest(batch.column(0).to_numpy(), batch.column(1).to_numpy()).items() if x != r]
+    """A partition's links as stars around its components' smallest nodes."""
+    held = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+    if held:
+        got = [(x, r) for x, r in forest(*(np.concatenate(c) for c in zip(*held, strict=True))).items() if x != r]
         cols = list(zip(*got, strict=True)) or [[], []]
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64())], names=["a", "b"])
 
 
-def components(links: DataFrame, contract: bool = True) -> DataFrame:
+def _stars(links: DataFrame) -> DataFrame:
+    """A round of large stars and one of small stars. A star's centre may have any number of neighbours, so it is looked up."""
+    both = links.union(links.select("b", "a")).toDF("u", "v")
+    least = cut(both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("degree")))
+    large = cut(lookup(both, least, "u", "degree", F.xxhash64("v")).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct())
+    least = cut(large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("degree")))
+    small = lookup(large, least, "u", "degree", F.xxhash64("v"))
+    pairs = small.select(F.explode(F.array(F.struct(F.col("v").alias("a"), F.col("m").alias("b")), F.struct(F.col("u").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.*")
+    return cut(pairs.where(F.col("a") != F.col("b")).distinct())
+
+
+def components(links: DataFrame) -> DataFrame:
     """links (a long, b long) -> (node, component): the smallest node that can be reached; nodes without links are left out.
 
-    Large and small stars in turn: a node's neighbours are linked to the smallest of them until all are linked to
-    their component's smallest. Batches are contracted first, unless `contract` says that they are forests already; a
-    star's centre, which may have any number of neighbours, is looked up by `lookup`. Each round's links are materialised.
+    Tasks of TASK_LINKS links each contract theirs to stars; where there are several tasks, large and small stars in turn
+    bring the stars together, and so on until all nodes are linked to their component's smallest. Each round's links are
+    materialised.
     """
-    links = links.select("a", "b")
-    links = cut((links.mapInArrow(_contract, "a long, b long") if contract else links).distinct())
-    before = None
+    links, before = cut(links.select("a", "b")), None
     while True:
-        both = links.union(links.select("b", "a")).toDF("u", "v")
-        least = cut(both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("degree")))
-        large = lookup(both, least, "u", "degree", F.xxhash64("v")).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
-        large = cut(large)
-        least = cut(large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("degree")))
-        small = lookup(large, least, "u", "degree", F.xxhash64("v"))
-        pairs = small.select(F.explode(F.array(F.struct(F.col("v").alias("a"), F.col("m").alias("b")), F.struct(F.col("u").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.*").where(F.col("a") != F.col("b"))
-        links = cut(pairs.distinct())
+        tasks = max(1, -(-links.count() // TASK_LINKS))
+        links = cut(links.repartition(tasks).mapInArrow(_contract, "a long, b long"))
+        if tasks == 1:
+            break
+        links = _stars(links)
         now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break

@@ -357,7 +357,11 @@ def test_jaccard_near_the_threshold(spark, monkeypatch, trie_sets):
     assert kept == {c for _, c in want.values()}
 
 
-def test_components_of_paths_and_stars(spark):
+@pytest.mark.parametrize("task_links", [250_000, 40])
+def test_components_of_paths_and_stars(spark, monkeypatch, task_links):
+    from tessella.llm import links as module
+
+    monkeypatch.setattr(module, "TASK_LINKS", task_links)
     links = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 400)] + [(3, 2), (2, 3)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 100 for i in range(100, 161)}, **{i: 7 for i in [7, *range(200, 400)]}, 2: 2, 3: 2}
