@@ -17,8 +17,6 @@ from tessella.llm.common import cut
 TRAIN_ROWS, MAX_TERMS = 20_000, 4_000
 #: Contexts (different words before its first place in a row) in toxic rows that make a word a term: a number, and a share of the toxic rows.
 LEAST_CONTEXTS, LEAST_SHARE, LEAST_WEIGHT = 6, 0.01, 3.0
-#: A term with more clean words than that within its edits is met in its own spelling only.
-MOST_NEIGHBOURS = 2
 #: A beginning that so many terms share, and that clean rows lack, stands for words with other endings.
 STEM_LETTERS, STEM_TERMS = (4, 8), 5
 #: Letters that signs stand for; the folds.
@@ -111,14 +109,18 @@ class Automaton:
 
 
 class Lexicon:
-    """Weights of words: terms, beginnings that stand for them, and misspellings that clean rows don't know as words."""
+    """Weights of words: terms, beginnings that stand for them, and misspellings that clean rows don't know as words.
 
-    def __init__(self, terms: dict[str, float], stems: dict[str, float] | None = None, plain: frozenset = frozenset(), crowded: frozenset = frozenset()):
-        self.terms, self.stems, self.plain, self.crowded, self.known = terms, stems or {}, plain, crowded, {}
-        self.automaton = Automaton({t: w for t, w in terms.items() if t not in crowded})
+    Every term is in the automaton. What is only near it counts the less, the more its neighbourhood is used in clean rows.
+    """
+
+    def __init__(self, terms: dict[str, float], stems: dict[str, float] | None = None, plain: frozenset = frozenset(), shares: dict[str, float] | None = None):
+        """plain: clean words that are near a term; shares: of the contexts of a term and its plain words, the term's part, where it isn't 1."""
+        self.terms, self.stems, self.plain, self.shares, self.known = terms, stems or {}, plain, shares or {}, {}
+        self.automaton = Automaton(terms)
 
     def __getstate__(self):
-        return self.terms, self.stems, self.plain, self.crowded
+        return self.terms, self.stems, self.plain, self.shares
 
     def __setstate__(self, state):
         self.__init__(*state)
@@ -144,7 +146,7 @@ class Lexicon:
                 return STEMMED * self.stems[plain[:n]]
         if plain in self.plain or (found := self.automaton.match(plain)) is None:
             return 0.0
-        return self.terms[found[0]] * PER_EDIT ** found[1]
+        return self.terms[found[0]] * PER_EDIT ** found[1] * self.shares.get(found[0], 1.0)
 
     def features(self, text: str) -> tuple[float, float]:
         """Sum and maximum of the weights of the text's words, each times its context's factor."""
@@ -201,7 +203,8 @@ def learn_lexicon(train: DataFrame) -> Lexicon:
 
     least = max(LEAST_CONTEXTS, math.ceil(LEAST_SHARE * n1))
     ranked = words.withColumn("w", weight(F.col("bad"), F.col("good"))).where((F.col("bad") >= least) & (F.col("w") >= LEAST_WEIGHT) & (F.length("word") >= 3))
-    terms = {r.word: r.w for r in ranked.orderBy(F.desc("bad"), "word").limit(MAX_TERMS).collect()}
+    chosen = ranked.orderBy(F.desc("bad"), "word").limit(MAX_TERMS).collect()
+    terms, toxic_contexts = {r.word: r.w for r in chosen}, {r.word: r.bad for r in chosen}
     lengths = F.sequence(F.lit(STEM_LETTERS[0]), F.least(F.lit(STEM_LETTERS[1]), F.length("word") - 1))
     ends = words.where(F.length("word") > STEM_LETTERS[0]).select("bad", "good", F.explode(F.transform(lengths, lambda n: F.substring(F.col("word"), F.lit(1), n))).alias("stem"))
     of_terms = {t[:n] for t in terms for n in range(STEM_LETTERS[0], STEM_LETTERS[1] + 1) if len(t) > n}
@@ -219,14 +222,15 @@ def learn_lexicon(train: DataFrame) -> Lexicon:
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [(x, m[0]) for x in b.column("word").to_pylist() if x not in terms and lexicon.weight(x) > 0 and (m := lexicon.automaton.match(plain_form(x)))]
-            cols = list(zip(*found, strict=True)) or [[], []]
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string())], names=["word", "term"])
-
-    clean = words.where((F.col("good") > 0) & (weight(F.col("bad"), F.col("good")) < LEAST_WEIGHT)).select("word")
-    met = clean.mapInArrow(near, "word string, term string").groupBy("term").agg(F.collect_set("word").alias("words")).collect()
-    crowded = frozenset(r.term for r in met if len(r.words) > MOST_NEIGHBOURS)
-    return Lexicon(terms, stems, frozenset(w for r in met if r.term not in crowded for w in r.words), crowded)
+            words, good = b.column("word").to_pylist(), b.column("good").to_pylist()
+            found = [(x, m[0], n) for x, n in zip(words, good, strict=True) if x not in terms and lexicon.weight(x) > 0 and (m := lexicon.automaton.match(plain_form(x)))]
+            cols = list(zip(*found, strict=True)) or [[], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int64())], names=["word", "term", "good"])
+
+    clean = words.where((F.col("good") > 0) & (weight(F.col("bad"), F.col("good")) < LEAST_WEIGHT)).select("word", F.col("good").cast("long").alias("good"))
+    met = clean.mapInArrow(near, "word string, term string, good long").groupBy("term").agg(F.collect_set("word").alias("words"), F.sum("good").alias("good")).collect()
+    shares = {r.term: toxic_contexts[r.term] / (toxic_contexts[r.term] + r.good) for r in met}
+    return Lexicon(terms, stems, frozenset(w for r in met for w in r.words), shares)
 
 
 def _scored(docs: DataFrame, lexicon: Lexicon) -> DataFrame:

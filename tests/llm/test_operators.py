@@ -127,6 +127,20 @@ def test_toxicity(spark, docs, empty):
     assert kept.columns == d.columns and 990 < 1000 and {r["doc_id"] for r in rows(kept)} == {i for i, r in got.items() if not r["predicted"]}
 
 
+def test_toxicity_crowded_terms(spark):
+    """Single clean words near a term weigh nothing themselves, and leave the term in the automaton."""
+    d, labels = toxic_corpus(spark)
+    near = ["zorklin", "corkling", "zorking", "zorklings", "zorkline"]
+    clean = [i for i in range(400) if i % 4 and zlib.crc32(str(i).encode()) % 5]
+    more = spark.createDataFrame([(i, f" {w}") for i, w in zip(clean, near, strict=False)], "doc_id long, more string")
+    d = d.join(more, "doc_id", "left").select("doc_id", F.concat("text", F.coalesce("more", F.lit(""))).alias("text"))
+    lexicon, _ = toxicity.learn(d, labels)
+    assert set(near) <= lexicon.plain and {lexicon.weight(w) for w in near} == {0.0}
+    assert 0.5 * lexicon.terms["zorkling"] < lexicon.weight("zorklng") < toxicity.PER_EDIT * lexicon.terms["zorkling"]
+    got = {r["doc_id"]: r for r in rows(toxicity.op3_toxicity(d, labels))}
+    assert got[1000]["predicted"] == 1
+
+
 def levenshtein(a, b):
     """With transposed neighbours as one edit."""
     d = {(i, -1): i + 1 for i in range(-1, len(a))} | {(-1, j): j + 1 for j in range(-1, len(b))}
