@@ -410,6 +410,12 @@ def mnemonic_tokens(t):
     return d.select("doc_id", E.mnemonic_tokens(F.concat(F.lit("&File a&b __x "), "text")).alias("tokens"))
 
 
+@query()
+def mnemonic_tokens_whole(t):
+    """All documents' own texts; without a SQL twin, as its regular expressions can't look behind."""
+    return t.documents.select("doc_id", E.mnemonic_tokens(F.col("text")).alias("tokens"))
+
+
 @query("SELECT page_id, len(regexp_extract_all(html, '</?[A-Za-z][^<>]*>'))::BIGINT AS tags, length(regexp_replace(html, '</?[A-Za-z][^<>]*>', '', 'g'))::BIGINT AS visible FROM pages")
 def tag_tokens(t):
     return t.pages.select("page_id", F.size(E.tag_tokens(F.col("html"))).cast("bigint").alias("tags"), F.length(E.strip_tags(F.col("html"))).cast("bigint").alias("visible"))

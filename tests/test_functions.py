@@ -81,6 +81,18 @@ def test_messages():
     assert parse_markup("<!DOCTYPE html>").valid is False and parse_markup("a & b").relevant is False
 
 
+def test_mnemonics_of_whole_documents(spark, tmp_path):
+    from tessella.plans.queries import QUERIES
+
+    texts = [None, "", "&a", "_x", "plain", "a&&& b", "&File a&b __x", "é&é &é\n_", "&&\n&1", *("".join(random.Random(i).choices("&&__aé1 \n.", k=12)) for i in range(300))]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for sf in (str(tmp_path), "/root/testdata/sf0.001"):
+        want = {r.doc_id: None if r.text is None else mnemonics(r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+        got = QUERIES["mnemonic_tokens_whole"](spark, sf).collect()
+        assert {r.doc_id: r.tokens for r in got} == want and len(got) == len(want)
+        assert any(want.values())
+
+
 def test_properties():
     raw = b"# c\n! d\r\na=1\r\n b : x\\\n   y\nk\\ e\\u00e9\\t v\nempty\nu=\\ud83d\\ude00\n"
     got = {e.key: e.value for e in properties.parse(raw)}
