@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import SPACE, ascii_lower, cut, lookup
+from tessella.llm.common import SPACE, ascii_lower, cut, lookup, written
 
 MIN_CHARS, MIN_DOCS = 20, 3
 
@@ -18,31 +18,34 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     """The documents with their shared lines taken out, plus n_lines and n_dropped (which replace columns of these
     names) if `counts`.
 
-    Lines are exploded, normalised (white space stripped, A-Z lowered) and hashed to 128 bits; only hashes travel. Each
-    hash's distinct documents are counted, and lines of a key of at least `min_chars` code points in at least `min_docs`
-    documents go, except in the largest id. The rest is put together again by position.
+    Lines are exploded, normalised (white space stripped, A-Z lowered) and hashed to 128 bits, once, into a narrow table;
+    only hashes travel by line. Each hash's distinct documents are counted, and lines of a key of at least `min_chars` code
+    points in at least `min_docs` documents go, except in the largest id. The rest is put together again by position.
 
     Null or empty text is one empty line. A null id counts as one document, smaller than all others. Rows that repeat an
-    id are one document in the counts; each row keeps its own lines. An empty table gives an empty table.
+    id are one document in the counts; each row keeps its own lines. A text of any length is one row; its lines are dealt
+    out by hash, and put together in one task. An empty table gives an empty table.
     """
+    others = [c for c in docs.columns if c != text_col]
     rows = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"),
+        F.struct(*(F.col(f"`{c}`") for c in others)).alias("_row"),
         F.col(id_col).alias("_id"),
         F.col(text_col).alias("_text"),
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_version"),
     )
     lines = rows.select("_id", "_version", F.posexplode(_lines(F.col("_text"))).alias("_pos", "_line")).select("_id", "_version", "_pos", ascii_lower(F.btrim("_line", F.lit(SPACE))).alias("_key"))
-    hashed = lines.where(F.char_length("_key") >= min_chars).select("_id", "_version", "_pos", F.unhex(F.md5("_key")).alias("_hash"))
+    hashed = written(lines.where(F.char_length("_key") >= min_chars).select("_id", "_version", "_pos", F.unhex(F.md5("_key")).alias("_hash")))
     shared = cut(hashed.select("_hash", "_id").distinct().groupBy("_hash").agg(F.count(F.lit(1)).alias("_docs"), F.max("_id").alias("_keeper")).where(F.col("_docs") >= min_docs))
     marked = lookup(hashed, shared, "_hash", "_docs", F.xxhash64("_id", "_pos"))
     dropped = marked.where(F.col("_docs").isNotNull() & ~F.col("_id").eqNullSafe(F.col("_keeper"))).groupBy("_id", "_version").agg(F.collect_set("_pos").alias("_gone"))
     d = dropped.select(F.col("_id").alias("_did"), F.col("_version").alias("_dversion"), "_gone")
-    joined = rows.join(d, F.col("_id").eqNullSafe(F.col("_did")) & (F.col("_version") == F.col("_dversion")), "left").withColumn("_lines", _lines(F.col("_text")))
-    n = F.size("_lines")
-    gone = F.coalesce(F.col("_gone"), F.array().cast("array<int>"))
-    stay = F.array_except(F.sequence(F.lit(0), n - 1), gone)  # by hash set, in order of position
-    text = F.when(F.size(gone) == 0, F.coalesce(F.col("_text"), F.lit(""))).otherwise(F.array_join(F.transform(stay, lambda p: F.get(F.col("_lines"), p)), "\n"))
-    made = {"n_lines": n.cast("long"), "n_dropped": F.size(gone).cast("long")} if counts else {}
+    # the only shuffle of texts: each goes once, and is split only where lines go
+    joined = rows.join(d, F.col("_id").eqNullSafe(F.col("_did")) & (F.col("_version") == F.col("_dversion")), "left").withColumn("_lines", F.when(F.col("_gone").isNotNull(), _lines(F.col("_text"))))
+    whole = F.coalesce(F.col("_text"), F.lit(""))
+    n = F.char_length(whole) - F.char_length(F.replace(whole, F.lit("\n"))) + 1
+    stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))  # by hash set, in order of position
+    text = F.when(F.col("_gone").isNull(), whole).otherwise(F.array_join(F.transform(stay, lambda p: F.get(F.col("_lines"), p)), "\n"))
+    made = {"n_lines": n.cast("long"), "n_dropped": F.coalesce(F.size("_gone"), F.lit(0)).cast("long")} if counts else {}
     kept = [c for c in docs.columns if c not in made]
     return joined.select(*(text.alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in kept), *(c.alias(k) for k, c in made.items()))
 
