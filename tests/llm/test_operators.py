@@ -394,3 +394,71 @@ def test_clashing_names(spark):
     for op in (line_dedup.op1_line_dedup, pii.op2_pii, packing.op5_packing, mixing.op7_mixing, licenses.op9_license_scan, jaccard.op10_jaccard_join):
         op(d).collect()
     language.op6_language_id(d.withColumn("lang", F.lit("en"))).collect()
+
+
+def shingle_ranks(sets):
+    order = {t: i for i, t in enumerate(sorted(set().union(*sets)))}
+    return [np.array(sorted(order[t] for t in s), np.int64) for s in sets]
+
+
+def test_trie_of_deeply_nested_and_of_large_sets():
+    nested = [np.arange(n) for n in range(1, 2401)]
+    found = []
+    jaccard.Trie(nested, np.arange(1, 2401)).links(lambda x, y, link: found.append((x, y)) if link else x == y)
+    want = sum(sum(4 * m >= 3 * n for m in range(1, n)) for n in range(1, 2401))
+    assert len(found) == want
+    r = np.random.default_rng(3)
+    base = np.sort(r.choice(60_000, 20_000, replace=False))
+    large = [base, np.sort(np.append(base[:-2000], np.arange(70_000, 71_000))), np.sort(r.choice(60_000, 20_000, replace=False))]
+    found = []
+    jaccard.Trie(large, np.array([len(x) for x in large])).links(lambda x, y, link: found.append((x, y)) if link else False)
+    assert found == [(1, 0)]
+
+
+def test_jaccard_of_long_texts(spark):
+    r = random.Random(12)
+    base = [f"w{r.randrange(10**7)}" for _ in range(20_000)]
+    data = []
+    for i in range(12):
+        w = list(base)
+        for _ in range(r.choice([300, 1500])):
+            w[r.randrange(len(w))] = f"x{r.randrange(10**7)}"
+        data.append((i, " ".join(w)))
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in rows(jaccard.op10_jaccard_join(spark.createDataFrame(data, "doc_id long, text string")))}
+    assert got == brute.components(data)
+
+
+def test_jaccard_hot_group_in_rounds(spark, monkeypatch):
+    """A group of which each text is similar to some others only: rounds and blocks give what all pairs give."""
+    monkeypatch.setattr(jaccard, "ROUND_SETS", 8)
+    monkeypatch.setattr(jaccard, "LEAST_SETS", 16)
+    monkeypatch.setattr(jaccard, "TRIE_SETS", 32)
+    monkeypatch.setattr(jaccard, "TRIE_TOKENS", 1500)
+    r = random.Random(10)
+    base = [f"w{i}" for i in range(100)]
+    data = []
+    for i in range(300):
+        w = list(base)
+        for _ in range(r.choice([1, 2, 2, 3, 5])):
+            w[r.randrange(len(w))] = f"x{r.randrange(10**6)}"
+        data.append((i, " ".join(w)))
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in rows(jaccard.op10_jaccard_join(spark.createDataFrame(data, "doc_id long, text string")))}
+    assert got == brute.components(data)
+
+
+def test_jaccard_tells_sets_of_one_key_apart(spark):
+    import pyarrow as pa
+
+    data = [(i, f"one two three four five {i % 4}") for i in range(20)]
+    # eight keys for all sets: the executors' copy of the module must agree, so the functions are handed over as they are
+    real = jaccard.set_hash
+    jaccard.set_hash = lambda tokens: (real(tokens)[0] % 2, real(tokens)[1])
+    try:
+        batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in data]), pa.array([t for _, t in data])], names=["doc_id", "text"])
+        prints = pa.Table.from_batches(list(jaccard._prints([batch])))
+    finally:
+        jaccard.set_hash = real
+    of_docs = spark.createDataFrame([tuple(r.values()) for r in prints.to_pylist() if not r["frequent"]], jaccard.PRINTS)
+    names = jaccard._renamed(of_docs, jaccard._classes(of_docs))
+    keys = {names.get((r.key, r.check), r.key) for r in of_docs.collect()}
+    assert len({(r.key) for r in of_docs.collect()}) <= 2 and len(keys) == 4
