@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from tessella.llm.common import cut
 
-#: Labelled rows that the lexicon and the calibration are learned from, at most (those of the smallest hashes), and terms.
-TRAIN_ROWS, MAX_TERMS = 20_000, 4_000
+#: Labelled rows that the lexicon and the calibration are learned from, at most (those of the smallest hashes).
+TRAIN_ROWS = 20_000
+#: Words whose weight a worker remembers: how many, and up to which length. More only costs time.
+REMEMBERED, REMEMBERED_LETTERS = 150_000, 64
 #: Contexts (different words before its first place in a row) in toxic rows that make a word a term: a number, and a share of the toxic rows.
 LEAST_CONTEXTS, LEAST_SHARE, LEAST_WEIGHT = 6, 0.01, 3.0
 #: A beginning that so many terms share, and that clean rows lack, stands for words with other endings.
@@ -128,15 +130,17 @@ class Lexicon:
     def weight(self, word: str) -> float:
         got = self.known.get(word)
         if got is None:
-            if len(self.known) > 150_000:
+            if len(self.known) > REMEMBERED:
                 self.known.clear()
-            got = self.known[word] = self._weight(word)
+            got = self._weight(word)
+            if len(word) <= REMEMBERED_LETTERS:
+                self.known[word] = got
         return got
 
     def _weight(self, word: str) -> float:
         if word in self.terms:
             return self.terms[word]
-        if word in self.plain or not self.terms or len(word) > 40:
+        if word in self.plain or not self.terms:
             return 0.0
         plain = plain_form(word)
         if plain in self.terms:
@@ -157,11 +161,12 @@ class Lexicon:
         if not hits:
             return 0.0, 0.0
         total = most = 0.0
-        at = -1
+        end = 0
         for i, w in enumerate(words):
-            at = low.find(w, at + 1)
+            start = low.find(w, end)  # between words no letter stands
+            end = start + len(w)
             if w in hits:
-                x = weight(w) * self.context(low, at, at + len(w), words, i)
+                x = weight(w) * self.context(low, start, end, words, i)
                 total, most = total + x, max(most, x)
         return total, most
 
@@ -187,7 +192,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for text, toxic in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(), strict=True):
                 words = TOKEN.findall((text or "").lower())
                 first = dict(zip(reversed(words), reversed(["", *words[:-1]]), strict=True))
-                seen.update((w, p, toxic) for w, p in first.items() if len(w) <= 40)
+                seen.update((w, p, toxic) for w, p in first.items())
             cols = list(zip(*seen, strict=True)) or [[], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int32())], names=["word", "before", "toxic"])
 
@@ -203,7 +208,7 @@ def learn_lexicon(train: DataFrame) -> Lexicon:
 
     least = max(LEAST_CONTEXTS, math.ceil(LEAST_SHARE * n1))
     ranked = words.withColumn("w", weight(F.col("bad"), F.col("good"))).where((F.col("bad") >= least) & (F.col("w") >= LEAST_WEIGHT) & (F.length("word") >= 3))
-    chosen = ranked.orderBy(F.desc("bad"), "word").limit(MAX_TERMS).collect()
+    chosen = sorted(ranked.collect(), key=lambda r: r.word)  # each takes a share of the contexts of a bounded number of rows
     terms, toxic_contexts = {r.word: r.w for r in chosen}, {r.word: r.bad for r in chosen}
     lengths = F.sequence(F.lit(STEM_LETTERS[0]), F.least(F.lit(STEM_LETTERS[1]), F.length("word") - 1))
     ends = words.where(F.length("word") > STEM_LETTERS[0]).select("bad", "good", F.explode(F.transform(lengths, lambda n: F.substring(F.col("word"), F.lit(1), n))).alias("stem"))
@@ -262,18 +267,27 @@ def calibrate(total: np.ndarray, most: np.ndarray, toxic: np.ndarray, ridge: flo
     return w
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> tuple[Lexicon, np.ndarray | None]:
-    """Lexicon and calibration from at most TRAIN_ROWS labelled documents of the learning folds.
+def sample(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """(text, toxic): at most `train_rows` labelled documents of the learning folds, those of the smallest hashes; rows that
+    repeat an id and its text count once.
 
-    Null labels and labels without a document are passed over; of several labels of an id the largest counts. Without
-    labels of both kinds there is no calibration.
+    Null labels and labels without a document are passed over; of several labels of an id the largest counts.
     """
     marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("_id")).agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    chosen = marks.where(fold(F.col("_id"), FOLDS) != 0).orderBy(F.xxhash64("_id"), "_id").limit(TRAIN_ROWS)
+    chosen = marks.where(fold(F.col("_id"), FOLDS) != 0).orderBy(F.xxhash64("_id"), "_id").limit(train_rows)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    train = cut(rows.join(F.broadcast(chosen), rows["doc_id"] == chosen["_id"]).select("text", "toxic"))
+    found = cut(rows.join(F.broadcast(chosen), rows["doc_id"] == chosen["_id"]).select("doc_id", "text", "toxic").dropDuplicates(["doc_id", "text"]))
+    # ids that repeat with other texts don't add to the bound
+    keyed = found.withColumn("key", F.xxhash64("doc_id", "text"))
+    last = keyed.select("key").orderBy("key").limit(train_rows).agg(F.max("key")).first()[0]
+    return keyed.where(F.lit(last is not None) & (F.col("key") <= (last or 0))).select("text", "toxic")
+
+
+def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[Lexicon, np.ndarray | None]:
+    """Lexicon and calibration from a `sample`. Without labels of both kinds there is no calibration."""
+    train = sample(docs, labels, train_rows)
     lexicon = learn_lexicon(train)
-    got = _scored(train, lexicon).collect()
+    got = _scored(train, lexicon).collect()  # three numbers for each row of the sample
     toxic = np.array([r.toxic for r in got], float)
     known = 0 < toxic.sum() < len(toxic)
     return lexicon, calibrate(np.array([r.total for r in got], float), np.array([r.most for r in got], float), toxic) if known else None
@@ -285,17 +299,18 @@ def probability(w: np.ndarray | None, total, most):
     return 1 / (1 + np.exp(-np.clip(w[0] + w[1] * np.log1p(total) + w[2] * most, -700, 700)))
 
 
-def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """docs (doc_id, text) and labels (doc_id, toxic): doc_id, held_out, score, predicted.
 
     Words that toxic rows use in many contexts and clean ones don't become weighted terms; all whole texts are then
     scored through the automaton of the terms.
 
-    Null or empty text: no term, the score of such a text. Null id: hashed as an empty text, without a label. Without
+    Words of any length count, in whole texts of any length; a letter that is repeated counts once. Of terms equally near
+    to a word the first by code point counts. Null or empty text: no term, the score of such a text. Null id: hashed as an empty text, without a label. Without
     labels of both kinds every score is 0. Repeated rows are scored as often as they occur. An empty table gives an
     empty table.
     """
-    lexicon, w = learn(docs, labels)
+    lexicon, w = learn(docs, labels, train_rows)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,7 +323,11 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The rows of docs, with all their columns, whose score is below the threshold; see `score`."""
+    """The rows of docs, with all their columns, whose score is below the threshold; see `score`.
+
+    Null and empty texts stay where such a text's score is below the threshold, as it is where most rows are clean;
+    repeated rows are judged alike; without labels of both kinds all rows stay; an empty table gives an empty table.
+    """
     lexicon, w = learn(docs, labels)
     place = docs.columns.index("text")
 
