@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.llm.common import cut
@@ -18,8 +18,9 @@ FOLDS, HELD_OUT, UNKNOWN = 4, 2, "und"
 #: Character n-grams of one to three letters of words with their borders, hashed to so many features.
 FEATURE_BITS = 15
 FEATURES = 1 << FEATURE_BITS
-#: Rows that the classifier is fitted on, at most (those of the smallest hashes), and every how manyth sets the temperature.
-TRAIN_ROWS, CALIBRATE_EVERY = 3000, 5
+#: Rows that the classifier is fitted on, at most: so many of each language first, then those of the smallest hashes; every
+#: how manyth sets the temperature; features that these rows may hold together.
+TRAIN_ROWS, OF_EACH_LANG, CALIBRATE_EVERY, TRAIN_FEATURES = 3000, 50, 5, 10_000_000
 #: Follow-the-regularised-leader: learning rate, its smoothing, the elastic net's two penalties, passes.
 ALPHA, BETA, L1, L2, EPOCHS = 0.3, 1.0, 1e-4, 1e-4, 3
 #: Term frequencies are shares of a text's n-grams, times this.
@@ -29,9 +30,17 @@ WORD = re.compile(r"[^\W\d_]+")
 AT_ONCE = 50_000
 
 
+def letters(text: str) -> list[str]:
+    """Runs of letters. The pattern's runs may hold numbers like `½` and `Ⅷ`, at which they are parted."""
+    words = WORD.findall(text)
+    if all(map(str.isalpha, words)):
+        return words
+    return [w for run in words for w in "".join(c if c.isalpha() else " " for c in run).split(" ") if w]
+
+
 def grams(text: str | None) -> Iterator[np.ndarray]:
     """The features of all n-grams of the text's words, with repeats; a word is what stands between borders `^` and `$`."""
-    words = WORD.findall((text or "").lower())
+    words = letters((text or "").lower())
     for i in range(0, len(words), AT_ONCE):
         c = np.frombuffer(("^" + "$^".join(words[i : i + AT_ONCE]) + "$").encode("utf-32-le"), np.uint32)
         inside = c != ord("$")  # what begins with or crosses an end is no n-gram of a word
@@ -66,7 +75,7 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             i = np.flatnonzero(n)
             at.append(i.astype(np.int32).tobytes())
             share.append((SCALE * n[i] / max(1, n.sum())).astype(np.float32).tobytes())
-        yield pa.RecordBatch.from_arrays([b.column("lang"), pa.array(at, pa.binary()), pa.array(share, pa.binary())], names=["lang", "at", "share"])
+        yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("order"), pa.array(at, pa.binary()), pa.array(share, pa.binary())], names=["lang", "order", "at", "share"])
 
 
 class Leader:
@@ -125,28 +134,55 @@ def fit(rows: list, idf: np.ndarray) -> tuple[list[str], np.ndarray, float]:
     return langs, w, temperature(np.array([x @ w[at] for at, x, _ in held]), np.array([y for *_, y in held]))
 
 
-def identify(docs: DataFrame, held_out: int = HELD_OUT, folds: int = FOLDS) -> DataFrame:
+def inverse_frequencies(learn: DataFrame) -> np.ndarray:
+    """Of all documents of learn (text), for each feature: log((1 + documents) / (1 + documents that have it)) + 1."""
+    df = np.zeros(FEATURES)
+    for r in learn.select("text").mapInArrow(_frequencies, "feature int, docs long").groupBy("feature").agg(F.sum("docs").alias("docs")).collect():
+        df[r.feature] = r.docs
+    return np.log((1 + max(1, learn.count())) / (1 + df)) + 1
+
+
+def sample(learn: DataFrame, train_rows: int = TRAIN_ROWS, train_features: int = TRAIN_FEATURES) -> list:
+    """At most `train_rows` different rows (lang, at, share) of learn (doc_id, text, lang), with at most `train_features`
+    features together (but one row at least): OF_EACH_LANG of each language first, then those of the smallest hashes."""
+    version = F.xxhash64("text")
+    keys = learn.select("doc_id", "lang", version.alias("_version")).distinct().withColumn("_key", F.xxhash64("doc_id", "lang", "_version"))
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy("_key", "doc_id", "_version"))
+    first = keys.withColumn("_turn", turn).where(F.col("_turn") <= OF_EACH_LANG).select("_turn", "_key", "doc_id", "lang", "_version").orderBy("_turn", "_key", "doc_id", "lang", "_version").limit(train_rows)
+    more = keys.select(F.lit(OF_EACH_LANG + 1).alias("_turn"), "_key", "doc_id", "lang", "_version").orderBy("_key", "doc_id", "lang", "_version").limit(train_rows)
+    each = first.union(more).groupBy("doc_id", "lang", "_version").agg(F.min("_turn").alias("_turn"), F.min("_key").alias("_key"))
+    chosen = each.orderBy("_turn", "_key", "doc_id", "lang", "_version").limit(train_rows).select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), F.col("_version").alias("_of"), F.struct("_turn", "_key").alias("order"))
+    on = learn["doc_id"].eqNullSafe(F.col("_id")) & (learn["lang"] == F.col("_lang")) & (version == F.col("_of"))
+    rows = learn.join(F.broadcast(chosen), on).select("lang", "order", "text").dropDuplicates(["lang", "order", "text"])
+    vectors = cut(rows.mapInArrow(_vectors, "lang string, order struct<_turn:int,_key:long>, at binary, share binary"))
+    sizes = sorted((tuple(r.order), r.n) for r in vectors.select("order", (F.length("at") / 4).cast("long").alias("n")).collect())
+    held, last = 0, None
+    for order, n in sizes:
+        if last is not None and held + n > train_features:
+            break
+        held, last = held + n, order
+    if last is None:
+        return []
+    taken = vectors.where((F.col("order._turn") < last[0]) | ((F.col("order._turn") == last[0]) & (F.col("order._key") <= last[1]))).collect()
+    return sorted(taken, key=lambda r: (zlib.crc32(r.at), r.lang, tuple(r.order)))
+
+
+def identify(docs: DataFrame, held_out: int = HELD_OUT, folds: int = FOLDS, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """docs (doc_id, text, lang): doc_id, held_out, lang_pred, score.
 
     Document frequencies are counted over all documents of the learning folds that have a lang; the classifier is fitted
-    on at most TRAIN_ROWS of them and its temperature on a fifth of these; every whole text is then scored (its logits are
-    the mean of its n-grams').
+    on a bounded `sample` of them, in which every language has its rows, and its temperature on a fifth of these; every
+    whole text is then scored (its logits are the mean of its n-grams').
 
     Null text or text without a letter: `und` with score 0, which is also the answer when there is nothing to learn from.
-    Null id: hashed as an empty text. Repeated rows are answered as often as they occur. An empty table gives an empty
+    Null id: hashed as an empty text. Repeated rows are learned from once and answered as often as they occur. Texts of any
+    length are read in pieces. Of languages equally likely the first by code point counts. An empty table gives an empty
     table.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), (fold(F.col("doc_id"), folds) == held_out).alias("held_out"))
     learn = rows.where(~F.col("held_out") & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    key = F.xxhash64("doc_id", "lang")
-    chosen = learn.select(key.alias("_key"), F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct().orderBy("_key", "_id", "_lang").limit(TRAIN_ROWS)
-    sample = cut(learn.join(F.broadcast(chosen.select("_key", "_id", "_lang")), (key == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang"))).select("text", "lang").mapInArrow(_vectors, "lang string, at binary, share binary"))
-    got = sorted(sample.collect(), key=lambda r: (zlib.crc32(r.at), r.lang))
-    df = np.zeros(FEATURES)
-    for r in learn.select("text").mapInArrow(_frequencies, "feature int, docs long").groupBy("feature").agg(F.sum("docs").alias("docs")).collect():
-        df[r.feature] = r.docs
-    n = max(1, learn.count())
-    idf = np.log((1 + n) / (1 + df)) + 1
+    got = sample(learn.select("doc_id", "text", "lang"), train_rows)
+    idf = inverse_frequencies(learn)
     langs, w, t = fit(got, idf) if got else ([], np.zeros((FEATURES + 1, 0)), 1.0)
     per_gram, bias = SCALE * w[:-1] * idf[:, None] / t, w[-1] / t
 
