@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
@@ -27,10 +28,31 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: The steps before the model of the one tokenizer that `Encoder` has a short way for.
+STEPS = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "model": {"type": "BPE", "dropout": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>", "byte_fallback": False, "ignore_merges": False},
+}
+
+
+def has_short_way(path: str) -> bool:
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model = {k: v for k, v in spec["model"].items() if k in STEPS["model"]}
+    return spec["normalizer"] == STEPS["normalizer"] and spec["pre_tokenizer"] == STEPS["pre_tokenizer"] and model == STEPS["model"]
+
+
 class Encoder:
     """Ids of whole texts, as little-endian 32-bit integers.
 
-    The tokenizer lowers letters, splits at white space and takes a full stop or comma apart from a letter or digit before
+    A tokenizer with other steps than STEPS encodes whole texts itself. With these, the tokenizer lowers letters, splits at white space and takes a full stop or comma apart from a letter or digit before
     it, so each run between these is encoded once and remembered (in lower case, for Latin texts). Runs of 64 characters
     or more aren't remembered, nor what hasn't been used since the store last filled up.
     """
@@ -39,6 +61,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known, self.older = Tokenizer.from_file(path), {}, {}
+        self.short = has_short_way(path)
         self.beyond = re.compile("[^\x00-\u017e]")
         self.marks = re.compile(r"(?:[^\w\s]|[_\x1c-\x1f])[.,](?:[ \n]|$)")
         self.apart = re.compile(r"(.*?)((?:[^\w\s']|_){0,8})", re.DOTALL)
@@ -47,6 +70,8 @@ class Encoder:
         self.alphabet = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in plain)}
 
     def __call__(self, text: str) -> bytes:
+        if not self.short:
+            return self._ids([text])[0]
         latin = not self.beyond.search(text)
         if latin:
             text = text.lower()
@@ -154,18 +179,18 @@ def _packer(capacity: int):
 def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, tokenizer: str | None = None, shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """Pack docs (doc_id, text) into sequences of at most `capacity` tokens: one row a piece, with its place.
 
-    Texts become ids plus `end_id`; only documents longer than a sequence are cut. Pieces are dealt by hash to shards of
-    about `shard_pieces`, so that the number of shards grows with the input and a task's memory doesn't, and each shard
+    Texts become ids plus `end_id`; only documents longer than a sequence are cut. Pieces are dealt by hash (of the piece
+    and its place in the materialised table, so that repeated rows are spread as well) to shards of about `shard_pieces`, so that the number of shards grows with the input and a task's memory doesn't, and each shard
     is packed by sum of squares, longest pieces first.
 
-    Null or empty text: the end id alone. Null id: kept, null. Repeated rows are packed as often as they occur. An empty
+    Ties in length go by document and piece. Null or empty text: the end id alone. Null id: kept, null. Repeated rows are packed as often as they occur. An empty
     table gives an empty table.
     """
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
     pieces = cut(narrow.mapInArrow(_cutter(tokenizer or default_tokenizer(), capacity, end_id), schema))
     shards = -(-pieces.count() // shard_pieces)
-    dealt = pieces.withColumn("_shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(max(1, shards))))
+    dealt = pieces.withColumn("_shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(max(1, shards))))
     return dealt.groupBy("_shard").applyInArrow(_packer(capacity), f"{schema}, sequence_id long, offset long")
 
 
