@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import SPACE, WORD, cut
+from tessella.llm.common import HOT_KEYS, SPACE, WORD, cut, lookup
 
 #: Fixed values of the contract: weights in turn, the share of all sizes, the most often a source may be used.
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
@@ -17,25 +17,37 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
 
 
+def running(rows: DataFrame, n: int, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """rows (n of them) with, for each name of `sums`, the sum over the rows before it in `order`, by ranges of RANGE_ROWS."""
+    ranged = cut(rows.repartitionByRange(max(1, -(-n // RANGE_ROWS)), *order).withColumn("_range", F.spark_partition_id()))
+    before = Window.orderBy("_first_range").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    each = ranged.groupBy(F.col("_range").alias("_first_range")).agg(*(F.sum(c).alias(f"_sum{k}") for k, c in sums.items()))
+    starts = each.select("_first_range", *(F.coalesce(F.sum(f"_sum{k}").over(before), F.lit(0)).alias(f"_start{k}") for k in sums))
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    made = ranged.select("*", *(F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"_inside{k}") for k, c in sums.items())).join(starts, F.col("_range") == F.col("_first_range"))
+    return made.select(*rows.columns, *((F.col(f"_start{k}") + F.col(f"_inside{k}")).alias(k) for k in sums))
+
+
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """sizes (_source, _source_size, _n): one row a source. Adds _target: weights shared out, none above `most` sizes.
 
     Sources are filled in order of the level at which they are full, so that the level of the rest follows from running
-    sums and needs no iteration. The table has a row per source, not per document.
+    sums and needs no iteration. Sources may be many: their order and sums are made by ranges.
     """
-    turn = F.pmod(F.row_number().over(Window.orderBy(F.col("_source").asc_nulls_last())) - 1, F.lit(len(weights)))
-    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (turn + 1).cast("int"))
+    sizes = cut(sizes)
+    n, total = sizes.agg(F.count(F.lit(1)), F.sum("_source_size").cast("double")).first()
+    if not n:
+        return sizes.withColumn("_target", F.lit(0.0))
+    numbered = running(sizes, n, [F.col("_source").asc_nulls_last()], {"_turn": F.lit(1)})
+    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (F.pmod(F.col("_turn"), F.lit(len(weights))) + 1).cast("int"))
     full = F.col("_source_size").cast("double") * most
-    w = sizes.withColumn("_weight", weight).withColumn("_full", full).withColumn("_at", F.col("_full") / F.col("_weight"))
-    order = Window.orderBy("_at", F.col("_source").asc_nulls_last())
-    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    total = F.sum("_source_size").over(Window.partitionBy()).cast("double") * share
-    level = (total - F.coalesce(F.sum("_full").over(before), F.lit(0.0))) / F.sum("_weight").over(after)
-    w = w.withColumn("_level", level)
+    w = cut(numbered.withColumn("_weight", weight).drop("_turn").withColumn("_full", full).withColumn("_at", F.col("_full") / F.col("_weight")))
+    weighed = w.agg(F.sum("_weight")).first()[0]
+    w = running(w, n, [F.col("_at").asc(), F.col("_source").asc_nulls_last()], {"_filled": F.col("_full"), "_weighed": F.col("_weight")})
+    w = cut(w.withColumn("_level", (F.lit(total * share) - F.col("_filled")) / (F.lit(weighed) - F.col("_weighed"))))
     # the first source that its level doesn't fill sets the level for all after it
-    first = F.min(F.when(F.col("_level") < F.col("_at"), F.struct("_at", "_level"))).over(Window.partitionBy())
-    w = w.withColumn("_first", first)
-    target = F.when(F.col("_first").isNull() | (F.col("_at") < F.col("_first._at")), F.col("_full")).otherwise(F.least(F.col("_full"), F.col("_weight") * F.col("_first._level")))
+    first = w.where(F.col("_level") < F.col("_at")).agg(F.min(F.struct("_at", "_level")).alias("x")).first().x
+    target = F.col("_full") if first is None else F.when(F.col("_at") < first[0], F.col("_full")).otherwise(F.least(F.col("_full"), F.col("_weight") * F.lit(first[1])))
     return w.select("_source", "_source_size", "_n", target.alias("_target"))
 
 
@@ -45,42 +57,46 @@ def mix(docs: DataFrame, seed: str = "", share: float = SHARE, most: int = MOST,
     Each document gets a hash-random key; keys are sorted in ranges within each source, running sums of sizes are made
     from sums of ranges and sums inside a range, and each source is cut at its exact budget (its target, rounded): whole
     epochs first, then the order's beginning; only the document at the cut is taken in part. A hot source has as many
-    more ranges. Everything is a function of the rows, so reruns agree.
+    more ranges. A range that one id fills, as its rows share a key, is split by hash of the row. Everything is a function
+    of the rows, so reruns agree; of rows that share an id, and fill a range, it is one of the stored rows.
 
     Null source: a source of its own, last. Null id: hashed as an empty text. Repeated rows are rows of their own. Size
     0: taken 0. An empty table gives an empty table.
     """
     key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     extra = [c for c in docs.columns if c not in ("doc_id", "source", "size")]
-    rows = cut(docs.select("doc_id", F.col("source").alias("_source"), F.col("size").alias("_size"), key.alias("_key"), *extra))
-    sizes = targets(rows.groupBy("_source").agg(F.sum("_size").alias("_source_size"), F.count(F.lit(1)).alias("_n")), weights, share, most)
+    rest = F.struct(*(F.col(f"`{c}`") for c in extra)) if extra else F.lit(None).cast("string")
+    rows = cut(docs.select(F.col("doc_id").alias("_id"), F.struct(F.col("source").alias("_source")).alias("_of"), F.col("size").alias("_size"), key.alias("_key"), rest.alias("_rest_of"), F.monotonically_increasing_id().alias("_row")))
+    sizes = targets(rows.groupBy(F.col("_of._source").alias("_source")).agg(F.sum("_size").alias("_source_size"), F.count(F.lit(1)).alias("_n")), weights, share, most)
     budget = F.round("_target").cast("long")
     sizes = cut(
-        sizes.select("_source", "_source_size", "_target", F.ceil(F.col("_n") / RANGE_ROWS).alias("_ranges"), budget.alias("_budget"))
+        sizes.select(F.struct("_source").alias("_of"), "_n", "_source_size", "_target", F.ceil(F.col("_n") / RANGE_ROWS).alias("_ranges"), budget.alias("_budget"))
         .withColumn("_epochs", F.when(F.col("_source_size") > 0, F.expr("_budget div _source_size")).otherwise(F.lit(0).cast("long")))
         .withColumn("_rest", F.col("_budget") - F.col("_epochs") * F.col("_source_size"))
     )
     unit = F.conv(F.substring("_key", 1, 8), 16, 10).cast("long") / F.lit(2.0**32)
-    # one row a source against all documents: dealt by salted source, not by source
-    many = sizes.withColumn("_deal", F.explode(F.sequence(F.lit(0), F.lit(63))))
-    dealt = rows.withColumn("_deal", F.conv(F.substring("_key", 31, 2), 16, 10).cast("int") % 64)
-    ranged = dealt.join(many, dealt["_source"].eqNullSafe(many["_source"]) & (dealt["_deal"] == many["_deal"])).select("doc_id", *extra, dealt["_source"], "_size", "_key", "_source_size", "_target", "_epochs", "_rest", F.floor(unit * F.col("_ranges")).alias("_range"))
-    ranged = cut(ranged)
-    sums = ranged.groupBy("_source", "_range").agg(F.sum("_size").alias("_sum"))
-    up_to = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select(F.col("_source").alias("_s"), F.col("_range").alias("_r"), F.coalesce(F.sum("_sum").over(up_to), F.lit(0).cast("long")).alias("_start"))
-    inside = Window.partitionBy("_source", "_range").orderBy("_key", "doc_id", "_size").rowsBetween(Window.unboundedPreceding, -1)
+    found = lookup(rows, sizes, "_of", "_n", F.xxhash64("_key"))
+    ranged = cut(found.select(*rows.columns, "_source_size", "_target", "_epochs", "_rest", F.struct("_of", F.floor(unit * F.col("_ranges")).alias("_range")).alias("_place")))
+    # of ranges that an id fills only the HOT_KEYS largest need a split: no other holds more than 1/HOT_KEYS of the rows
+    hot = ranged.groupBy("_place").agg(F.count(F.lit(1)).alias("_held")).where(F.col("_held") > 4 * RANGE_ROWS).orderBy(F.desc("_held"), "_place").limit(HOT_KEYS)
+    hot = hot.select("_place", F.ceil(F.col("_held") / RANGE_ROWS).alias("_subs"))
+    ranged = ranged.join(F.broadcast(hot), "_place", "left").withColumn("_sub", F.coalesce(F.pmod(F.xxhash64("_id", "_size", "_row"), F.col("_subs")), F.lit(0).cast("long")))
+    sums = ranged.groupBy("_place", "_sub").agg(F.sum("_size").alias("_sum"))
+    up_to = Window.partitionBy("_place._of").orderBy("_place._range", "_sub").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(F.col("_place").alias("_p"), F.col("_sub").alias("_s"), F.coalesce(F.sum("_sum").over(up_to), F.lit(0).cast("long")).alias("_start"))
+    inside = Window.partitionBy("_place", "_sub").orderBy("_key", "_id", "_size", "_row").rowsBetween(Window.unboundedPreceding, -1)
     run = ranged.withColumn("_before", F.coalesce(F.sum("_size").over(inside), F.lit(0).cast("long")))
-    placed = run.join(starts, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_range") == F.col("_r")))
+    placed = run.join(starts, (F.col("_place") == F.col("_p")) & (F.col("_sub") == F.col("_s")))
     part = F.least(F.col("_size"), F.greatest(F.lit(0).cast("long"), F.col("_rest") - F.col("_start") - F.col("_before")))
-    return placed.select("doc_id", *extra, F.col("_source").alias("source"), F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_epochs") * F.col("_size") + part).alias("taken"))
+    return placed.select(F.col("_id").alias("doc_id"), *(F.col("_rest_of").getField(c).alias(c) for c in extra), F.col("_of._source").alias("source"), F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_epochs") * F.col("_size") + part).alias("taken"))
 
 
 def remix(docs: DataFrame, share: float = SHARE, most: int = MOST) -> DataFrame:
     """The mix itself: the rows of docs (doc_id, text, source and any more), as often as `mix` takes them.
 
     A row that is taken in part (one a source at most) ends after so many words; n_chars follows where there is one.
-    Rows that aren't taken, and those without words, go.
+    Rows that aren't taken, and those without words (null texts among them), go. Rows that repeat an id and its text are
+    told apart by number. A null source is one like others. An empty table gives an empty table.
     """
     names = docs.columns
     version = F.xxhash64(F.coalesce(F.col("text"), F.lit("")), F.col("source"))
