@@ -97,6 +97,42 @@ def test_pii_adds_secrets(spark):
     assert got[7].count(",") == 2
 
 
+def test_pii_adds_other_kinds(spark):
+    """Every added kind is found where its context speaks for it; plain words and numbers aren't."""
+    r = random.Random(7)
+    hexed = lambda n: "".join(r.choice("0123456789abcdef") for _ in range(n))
+    words = "lorem ipsum dolor sit amet consectetur adipiscing elit sed do".split()
+    data, want = [], {}
+    for i in range(240):
+        before, after = " ".join(r.choices(words, k=6)), " ".join(r.choices(words, k=6))
+        kind, span = [
+            ("secret", f'token = "{hexed(40)}'), ("key", "ghp_" + "a1B2" * r.choice([9, 40])), ("id", f"{r.randint(100, 999)}-{r.randint(10, 99)}-{r.randint(1000, 9999)}"),
+            ("name", "Dr. Ada Lovelace"), ("opaque", "Zk9" + hexed(30)), (None, "version 12 34"),
+        ][i % 6]
+        cue = {"id": "ssn: ", "name": "contact ", "opaque": "account key "}.get(kind, "")
+        data.append((i, f"{before} {cue}{span} {after} a{i}@mail.example.com 10.0.0.{i}"))
+        want[i] = None if kind is None else f"{kind}:{len(before) + 1 + len(cue)}:{len(before) + 1 + len(cue) + len(span)}"
+    got = {x["doc_id"]: x for x in rows(pii.op2_pii(spark.createDataFrame(data, "doc_id long, text string")))}
+    for kind in ("secret", "key", "id", "name", "opaque"):
+        mine = [i for i, w in want.items() if w and w.startswith(kind)]
+        assert sum(want[i] in got[i]["spans"].split(",") for i in mine) >= 0.9 * len(mine), kind
+    assert all(got[i]["n_spans"] == 2 for i, w in want.items() if w is None)
+    assert all(got[i]["n_spans"] == 3 for i, w in want.items() if w and w.startswith("secret"))  # its hexadecimal part isn't told twice
+
+
+def test_estimate_tells_good_labelers_from_bad():
+    r = random.Random(1)
+    counts = Counter()
+    for _ in range(4000):
+        truth = r.random() < 0.4
+        vote = lambda right: (1 if truth else -1) if r.random() < right else r.choice([1, -1])  # noqa: B023,E731
+        counts["secret", (vote(0.95), vote(0.9), vote(0.8), vote(0.7), vote(0.0))] += 1
+    prior, odds = pii.estimate([(k, v, n) for (k, v), n in sorted(counts.items())])
+    assert abs(prior["secret"] - 0.4) < 0.05
+    power = [o[1] - o[-1] for o in odds]
+    assert power[0] > power[1] > power[2] > power[3] > power[4] and abs(power[4]) < 0.3
+
+
 # 3
 def toxic_corpus(spark):
     r = random.Random(5)
@@ -141,6 +177,95 @@ def test_toxicity_crowded_terms(spark):
     assert got[1000]["predicted"] == 1
 
 
+def test_stretched_words_are_met():
+    x = toxicity.Lexicon({"zorkling": 4.0})
+    assert x.weight("zorkl" + "i" * 20 + "ng") == x.weight("zorkl" + "i" * 500 + "ng") == toxicity.PER_EDIT * 4.0
+    assert x.weight("zorkling" * 30) == 0.0
+
+
+def test_learning_counts_repeated_rows_once(spark):
+    d, labels = toxic_corpus(spark)
+    once = toxicity.sample(d, labels)
+    assert once.count() == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(400))
+    assert toxicity.sample(d.union(d).union(d), labels).count() == once.count()
+    other = d.union(d.select("doc_id", F.concat("text", F.lit(" again")).alias("text")))
+    assert toxicity.sample(other, labels, 50).count() == 50
+
+
+def plain_features(lexicon, text):
+    """Sum and maximum of weights by plain distances and a plain reading of contexts."""
+    low, total, most = text.lower(), 0.0, 0.0
+    found = [(m.group(), m.start()) for m in toxicity.TOKEN.finditer(low)]
+    words = [w for w, _ in found]
+    for i, (w, at) in enumerate(found):
+        folded = re.sub(r"(.)\1\1+", r"\1", w.translate(toxicity.SIGNS).replace("'", "").replace("’", ""))
+        stems = [s for n in range(4, min(8, len(folded) - 1) + 1) for s in lexicon.stems if s == folded[:n]]
+        near = sorted((levenshtein(folded, t), t) for t in lexicon.terms if levenshtein(folded, t) <= toxicity.edits(t))
+        if w in lexicon.terms:
+            x = lexicon.terms[w]
+        elif w in lexicon.plain:
+            x = 0.0
+        elif folded in lexicon.terms:
+            x = 0.7 * lexicon.terms[folded]
+        elif stems:
+            x = 0.8 * lexicon.stems[stems[0]]
+        elif folded in lexicon.plain or not near:
+            x = 0.0
+        else:
+            x = lexicon.terms[near[0][1]] * 0.7 ** near[0][0] * lexicon.shares.get(near[0][1], 1.0)
+        if x:
+            left, right = low[max(0, at - 80) : at].split("\n")[-1], low[at + len(w) : at + len(w) + 80].split("\n")[0]
+            if (left.rfind("“") > left.rfind("”") and "”" in right) or (left.count('"') % 2 == 1 and '"' in right):
+                x *= 0.1
+            elif set(words[max(0, i - 4) : i]) & toxicity.REPORTS:
+                x *= 0.5
+            elif set(words[max(0, i - 4) : i + 3]) & toxicity.ADDRESS:
+                x *= 1.5
+        total, most = total + x, max(most, x)
+    return total, most
+
+
+def test_features_against_a_plain_version():
+    r = random.Random(4)
+    lexicon = toxicity.Lexicon({"abcab": 4.0, "bacca": 3.5, "ccabbacab": 5.0}, {"cabb": 3.0}, frozenset(["abcac"]), {"bacca": 0.25})
+    parts = ["abcab", "bacca", "baca", "abcac", "ccabbacba", "cabbxyz", "ab", "said", "you", "“", "”", '"', "\n", "4bcab", "accccab", "plain", "ccabbacaaaab"]
+    for _ in range(1500):
+        text = " ".join(r.choice(parts) for _ in range(14))
+        got, want = lexicon.features(text), plain_features(lexicon, text)
+        assert np.allclose(got, want), text
+
+
+def test_lexicon_against_plain_counts(spark):
+    d, labels = toxic_corpus(spark)
+    train = toxicity.sample(d, labels)
+    lexicon = toxicity.learn_lexicon(train)
+    bad, good = {}, {}
+    n = Counter(x.toxic for x in train.collect())
+    for text, toxic in train.collect():
+        words, seen = toxicity.TOKEN.findall(text.lower()), set()
+        for p, w in zip(["", *words], words, strict=False):
+            if w not in seen:
+                seen.add(w)
+                (bad if toxic else good).setdefault(w, set()).add(p)
+    least = max(6, math.ceil(0.01 * n[1]))
+    weight = {w: math.log((len(bad[w]) + 0.5) / (n[1] + 1)) - math.log((len(good.get(w, ())) + 0.5) / (n[0] + 1)) for w in bad}
+    want = {w: x for w, x in weight.items() if len(bad[w]) >= least and x >= 3 and len(w) > 2}
+    assert lexicon.terms.keys() == want.keys() and all(abs(lexicon.terms[w] - x) < 1e-9 for w, x in want.items())
+
+
+def test_calibration_is_a_minimum():
+    r = np.random.default_rng(3)
+    total, most = r.exponential(2, 500), r.exponential(1, 500)
+    toxic = (r.random(500) < 1 / (1 + np.exp(2 - total - most))).astype(float)
+    w = toxicity.calibrate(total, most, toxic)
+
+    def loss(w):
+        z = w[0] + w[1] * np.log1p(total) + w[2] * most
+        return (np.logaddexp(0, z) - toxic * z).sum() + 0.005 * (w[1] ** 2 + w[2] ** 2)
+
+    assert all(loss(w) <= loss(w + e) + 1e-9 for e in 0.01 * np.vstack([np.eye(3), -np.eye(3)])) and w[1] > 0 and w[2] > 0
+
+
 def levenshtein(a, b):
     """With transposed neighbours as one edit."""
     d = {(i, -1): i + 1 for i in range(-1, len(a))} | {(-1, j): j + 1 for j in range(-1, len(b))}
@@ -167,38 +292,80 @@ def test_automaton_against_distance():
 def vectors_table(spark, n=700, dim=16, seed=2):
     r = np.random.default_rng(seed)
     x = r.normal(size=(n, dim))
-    data = [(i, [float(np.float32(v)) for v in x[i]], 0) for i in range(n)]
-    data += [(n, None, 0), (n + 1, [0.0] * dim, 0), (n + 2, [1.0, None] + [0.0] * (dim - 2), 0), (n + 3, [float("nan")] * dim, 0), (20, data[20][1], 0), (None, data[3][1], 0), (2000, [2.0, 1.0], 0)]
-    data += [(3000 + i, data[5][1], 0) for i in range(30)]  # ties
-    return spark.createDataFrame(data, "vec_id long, embedding array<float>, label int"), {i: np.array([*v, *[0.0] * (dim - len(v))]) for i, v, _ in data if i is not None and v is not None and all(y is not None and math.isfinite(y) for y in v)}
+    data = [(i, [float(np.float32(v)) for v in x[i]]) for i in range(n)]
+    data += [(n, None), (n + 1, [0.0] * dim), (n + 2, [1.0, None] + [0.0] * (dim - 2)), (n + 3, [float("nan")] * dim), (None, data[3][1]), (2000, [2.0, 1.0])]
+    data += [(20, data[20][1]), (40, data[7][1]), (41, data[40][1])]  # rows that repeat an id
+    data += [(3000 + i, data[5][1]) for i in range(30)]  # ties
+    data += [(5000, [0.25] * 300)]  # a long one
+    clash = [(i, v, "mine", 1, "v", True, 2) for i, v in data]
+    have = [(i, np.array([*v, *[0.0] * (300 - len(v))])) for i, v in data if i is not None and v is not None and all(y is not None and math.isfinite(y) for y in v)]
+    return spark.createDataFrame(clash, "vec_id long, embedding array<float>, v string, row long, cell string, q boolean, annulus int"), have
+
+
+def answers(df):
+    """Each asker's (rank, vec_id, score), askers of one id by what they got."""
+    got: dict = {}
+    for r in df.collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    return {q: sorted(x) for q, x in got.items()}
+
+
+def wanted(have, score, k=20):
+    """The same by brute force: candidates are all rows but the asker's own."""
+    out: dict = {}
+    for a, (q, x) in enumerate(have):
+        if q % 20 == 0:
+            top = sorted((-score(x, y), i) for b, (i, y) in enumerate(have) if b != a)[:k]
+            out.setdefault(q, []).extend((n + 1, i, -s) for n, (s, i) in enumerate(top))
+    return {q: sorted(x) for q, x in out.items()}
 
 
-def test_exact_top(spark):
+@pytest.mark.parametrize("block", [4096, 10])
+def test_exact_top(spark, monkeypatch, block):
+    monkeypatch.setattr(vectors, "BLOCK_ROWS", block)
+    monkeypatch.setattr(vectors, "MORE_ANNULI", 4)
     df, have = vectors_table(spark)
-    ints = {i: np.floor(64 * v).astype(int) for i, v in have.items()}
-    got: dict = {}
-    for r in vectors.exact_top(df).collect():
-        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
-    assert set(got) == {i for i in have if i % 20 == 0}
-    for q, found in got.items():
-        want = sorted(((-int(ints[q] @ v), i) for i, v in ints.items() if i != q))[:20]
-        assert sorted(found) == [(k + 1, i, -s) for k, (s, i) in enumerate(want)]
+    ints = [(i, np.floor(64 * v).astype(int)) for i, v in have]
+    assert answers(vectors.exact_top(df)) == wanted(ints, lambda x, y: int(x @ y))
+
+
+def recall(got, want):
+    hits = [len({i for _, i, _ in want[q]} & {i for _, i, _ in found}) / len({i for _, i, _ in want[q]}) for q, found in got.items()]
+    return np.mean(hits)
 
 
 def test_permutation_top(spark):
     df, have = vectors_table(spark)
-    have = {i: v for i, v in have.items() if v.any()}
+    have = [(i, v) for i, v in have if v.any()]
+    got, want = answers(vectors.permutation_top(df)), wanted(have, lambda x, y: float(x @ y))
+    assert {q: [n for n, *_ in x] for q, x in got.items()} == {q: [n for n, *_ in x] for q, x in want.items()}
+    scores: dict = {}
+    for i, x in have:
+        scores.setdefault(i, []).append(x)
+    assert all(min(abs(s - float(a @ b)) for a in scores[q] for b in scores[i]) < 1e-9 for q, found in got.items() for _, i, s in found)
+    assert recall(got, want) > 0.9
+    # queries that find too few are answered from all rows
+    assert answers(vectors.permutation_top(df, rerank=0.0, k=200)).keys() == got.keys()
+    assert {len(x) for q, x in answers(vectors.permutation_top(df, rerank=0.0, k=200)).items() if q != 20 and q != 40} == {200}
+
+
+def test_permutation_recall_on_many_vectors(spark):
+    """Vectors without any structure, where less than a twentieth is reranked."""
+    n = 20_000
+    x = np.random.default_rng(4).normal(size=(n, 32)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
     got: dict = {}
-    for r in vectors.permutation_top(df).collect():
-        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
-    assert set(got) == {i for i in have if i % 20 == 0}
+    for r in vectors.permutation_top(df, query=F.col("vec_id") % 100 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    d = x.astype(float)
     hits = []
     for q, found in got.items():
-        want = sorted(((-float(have[q] @ v), i) for i, v in have.items() if i != q))[:20]
-        assert [x[0] for x in sorted(found)] == list(range(1, 21))
-        assert all(abs(s - float(have[q] @ have[i])) < 1e-9 for _, i, s in found)
-        hits.append(len({i for _, i in want} & {i for _, i, _ in found}) / 20)
-    assert np.mean(hits) > 0.9
+        s = d @ d[q]
+        s[q] = -9
+        hits.append(len(found & set(np.argsort(-s)[:20].tolist())) / 20)
+    assert len(got) == 200 and np.mean(hits) >= 0.9, np.mean(hits)
+    assert vectors.RERANK < 0.05
 
 
 def test_small_vector_tables(spark):
@@ -242,6 +409,54 @@ def test_encoder_is_the_tokenizer():
         assert np.frombuffer(e(s), "<u4").tolist() == t.encode(s, add_special_tokens=False).ids, repr(s)
 
 
+def test_other_tokenizers_encode_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t, e = Tokenizer.from_file(path), Encoder(path)
+    assert not packing.has_short_way(path) and packing.has_short_way(default_tokenizer())
+    for s in ("Hello, World.  Two", "", "\n\n x", "é½😀 don't"):
+        assert np.frombuffer(e(s), "<u4").tolist() == t.encode(s, add_special_tokens=False).ids
+
+
+def test_repeated_rows_are_spread_over_shards(spark):
+    d = spark.createDataFrame([(None, "same text")] * 600 + [(i, f"text {i}") for i in range(200)], "doc_id long, text string")
+    got = packing.pack(d, shard_pieces=100).collect()
+    of = Counter(r.sequence_id >> 32 for r in got if r.doc_id is None)
+    assert len(got) == 800 and len(of) == 8 and max(of.values()) < 200
+
+
+def plain_packing(lengths, capacity):
+    """Each placement tried in turn: bins as lists, the sum of squared counts counted anew."""
+    left, out = [], []
+    for s in lengths:
+        count = Counter(g for g in left if 0 < g < capacity)
+        tries = []
+        for gap in sorted(g for g in count if g >= s):
+            after = Counter(count)
+            after[gap] -= 1
+            after[gap - s] += gap > s
+            tries.append((sum(n * n for g, n in after.items() if g), gap))
+        if s < capacity and tries:
+            gap = min(tries)[1]
+            b = max(i for i, g in enumerate(left) if g == gap)
+        else:
+            b, gap = len(left), capacity
+            left.append(capacity)
+        out.append((left[b], gap))
+        left[b] -= s
+    return len(left), [capacity - g for g, _ in out]
+
+
+def test_sum_of_squares_against_a_plain_version():
+    r = random.Random(5)
+    for _ in range(60):
+        lengths = sorted((r.randint(1, 20) for _ in range(40)), reverse=r.random() < 0.7)
+        bins, offsets = sum_of_squares(np.array(lengths), 20)
+        assert (int(bins.max()) + 1, offsets.tolist()) == plain_packing(lengths, 20)
+
+
 def test_sum_of_squares_wastes_little():
     n = np.sort(np.random.default_rng(1).integers(1, 3000, 4000))[::-1]
     bins, offsets = sum_of_squares(n, 4096)
@@ -262,6 +477,73 @@ def test_language(spark, docs, empty):
     assert {x["lang_pred"] for x in rows(language.op6_language_id(docs.withColumn("lang", F.lit(None).cast("string"))))} == {"und"}
 
 
+def test_numbers_are_no_letters(spark):
+    data = [(i, "bala mala", "xx") for i in range(40)] + [(100, "½ ²", None), (101, "Ⅷ ①", None), (102, "a½b", None)]
+    got = {x["doc_id"]: x for x in rows(language.op6_language_id(spark.createDataFrame(data, "doc_id long, text string, lang string")))}
+    assert got[100]["lang_pred"] == got[101]["lang_pred"] == "und" and got[102]["lang_pred"] == "xx"
+    assert language.letters("a½b cd") == ["a", "b", "cd"]
+
+
+def test_language_of_long_repeated_and_rare_rows(spark):
+    r = random.Random(2)
+    say = {"xx": ["bala", "mala", "kala"], "yy": ["snurf", "blorf", "grompf"], "rare": ["oqoq", "iqiq", "uquq"]}
+    text = lambda k, n=20: " ".join(r.choice(say[k]) for _ in range(n))
+    data = [(i, text(["xx", "yy"][i % 2]), ["xx", "yy"][i % 2]) for i in range(400)] + [(9000 + i, text("rare"), "rare") for i in range(8)]
+    data += [(0, data[0][1], "xx")] * 300 + [(5000, text("yy", 60_000), None), (5001, text("rare", 50), None)]
+    d = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    got = {x["doc_id"]: x["lang_pred"] for x in rows(language.identify(d, train_rows=30))}
+    assert got[5000] == "yy" and got[5001] == "rare"
+    learn = d.where("lang IS NOT NULL")
+    assert Counter(x.lang for x in language.sample(learn, 30))["rare"] == 8
+    assert len(language.sample(learn)) == 408 and len(language.sample(learn, train_features=100)) < 10
+
+
+def test_frequencies_against_plain_counts(spark):
+    texts = ["ab ba", "Ab", None, "12", "x" * 30, "ab"]
+    df = Counter(f for t in texts for f in {int(x) for g in language.grams(t) for x in g})
+    idf = language.inverse_frequencies(spark.createDataFrame([(t,) for t in texts], "text string"))
+    assert np.allclose(idf, [math.log(7 / (1 + df[i])) + 1 for i in range(language.FEATURES)])
+
+
+def test_leader_against_single_weights():
+    """Follow-the-regularised-leader, a coordinate at a time, as it was published."""
+    r = random.Random(3)
+    k, features = 3, 6
+    leader = language.Leader(k, features)
+    z, n = [[0.0] * k for _ in range(features + 1)], [[0.0] * k for _ in range(features + 1)]
+
+    def weight(i, c):
+        if abs(z[i][c]) <= language.L1:
+            return 0.0
+        sign = 1 if z[i][c] > 0 else -1
+        return -(z[i][c] - sign * language.L1) / ((language.BETA + math.sqrt(n[i][c])) / language.ALPHA + language.L2)
+
+    for _ in range(200):
+        at = sorted(r.sample(range(features + 1), 3))
+        x, y = [r.uniform(0, 3) for _ in at], r.randrange(k)
+        w = {i: [weight(i, c) for c in range(k)] for i in at}
+        logits = [sum(v * w[i][c] for v, i in zip(x, at, strict=True)) for c in range(k)]
+        e = [math.exp(v - max(logits)) for v in logits]
+        for v, i in zip(x, at, strict=True):
+            for c in range(k):
+                g = (e[c] / sum(e) - (c == y)) * v
+                sigma = (math.sqrt(n[i][c] + g * g) - math.sqrt(n[i][c])) / language.ALPHA
+                z[i][c] += g - sigma * w[i][c]
+                n[i][c] += g * g
+        leader.learn(np.array(at), np.array(x), y)
+    want = [[weight(i, c) for c in range(k)] for i in range(features + 1)]
+    assert np.allclose(leader.weights(np.arange(features + 1)), want)
+
+
+def test_temperature_against_a_grid():
+    r = np.random.default_rng(5)
+    logits = r.normal(size=(400, 3)) * 4
+    y = np.array([r.choice(3, p=language.softmax(x / 2.5)) for x in logits])
+    loss = lambda t: -np.log(language.softmax(logits / t)[np.arange(400), y]).mean()
+    t = language.temperature(logits, y)
+    assert loss(t) <= min(loss(g) for g in np.exp(np.linspace(-3, 3, 200))) + 1e-3 and 1.8 < t < 3.4
+
+
 # 7
 def test_mixing(spark, docs, empty):
     assert mixing.op7_mixing(empty).collect() == []
@@ -293,6 +575,33 @@ def test_mixing(spark, docs, empty):
         assert abs(by[s][0]["target"] - (cap[s] if s in full else weight[s] * left)) < 1e-6 * total
 
 
+def test_mixing_many_sources_and_hot_ids(spark, monkeypatch):
+    """Sources in several ranges, and a third of the rows without an id: the same totals as by plain repetition."""
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 16)
+    r = random.Random(3)
+    data = [(None if i % 3 == 0 else i, f"s{r.randrange(150):03d}", r.randint(0, 9)) for i in range(2000)] + [(None, None, 4)] * 500
+    d = spark.createDataFrame(data, "doc_id long, source string, size long")
+    got = rows(mixing.mix(d))
+    assert sorted(((x["doc_id"] or -1, x["source"] or "", x["size"]) for x in got)) == sorted((i or -1, s or "", n) for i, s, n in data)
+    size, taken, target = Counter(), Counter(), {}
+    for x in got:
+        assert 0 <= x["taken"] <= 2 * x["size"]
+        size[x["source"]] += x["size"]
+        taken[x["source"]] += x["taken"]
+        target[x["source"]] = x["target"]
+    names = sorted(s for s in size if s is not None) + [None]
+    total, weight, full = sum(size.values()), {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}, set()
+    while True:
+        left = (1.5 * total - sum(2 * size[s] for s in full)) / max(1, sum(weight[s] for s in names if s not in full))
+        if not (new := {s for s in names if s not in full and weight[s] * left > 2 * size[s]}):
+            break
+        full |= new
+    for s in names:
+        assert abs(target[s] - (2 * size[s] if s in full else weight[s] * left)) < 1e-6 * total and abs(taken[s] - target[s]) <= 0.5
+    key = lambda x: (x["doc_id"] or -1, x["source"] or "", x["size"], x["taken"])
+    assert sorted(map(key, got)) == sorted(map(key, rows(mixing.mix(d))))
+
+
 def test_remix_takes_what_mix_says(spark):
     data = [(i, f"doc {i} " + "w " * (i % 7), ["a", "b", "c", None][i % 4], 5) for i in range(60)] + [(3, "doc 3 w w w ", None, 5)] * 2
     d = spark.createDataFrame(data, "doc_id long, text string, source string, n_chars long")

@@ -40,6 +40,29 @@ def test_stages(spark):
     assert packed == Counter(r.doc_id for r in e.collect())
 
 
+def test_stages_on_odd_tables(spark, tmp_path):
+    """Null and empty texts, null ids, names of the operators' own, no labels, and no rows at all."""
+    line = "a shared line of at least twenty signs"
+    data = [(None, None, None, None, None, 1, "r", "k"), (1, "", "en", "a", 0, 1, "r", "k"), (2, None, "en", "a", 0, 1, "r", "k")]
+    data += [(10 + i, f"{line}\nwords of document number {i} and some more", "en", ["a", None][i % 2], 9, 1, "r", "k") for i in range(6)]
+    data += [(10, f"{line}\nwords of document number 0 and some more", "en", "a", 9, 1, "r", "k")] * 2
+    kind = "doc_id long, text string, lang string, source string, n_chars long, size int, _row string, key string"
+    for name, rows in (("odd", data), ("none", [])):
+        folder = str(tmp_path / name)
+        spark.createDataFrame(rows, kind).write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        docs = read(spark, folder, "documents")
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, folder)
+            assert out.columns == docs.columns
+            docs = spark.createDataFrame(out.collect(), docs.schema)
+            assert all(r._row == "r" and r.key == "k" for r in docs.collect())
+        packed = corpus_pipeline.STAGES[-1][1](spark, docs, folder).collect()
+        assert {r.doc_id for r in packed} == {r.doc_id for r in docs.collect()}
+        if rows:
+            assert sum(line in r.text for r in docs.dropDuplicates(["doc_id"]).collect()) <= 1 and {r.doc_id for r in docs.collect()} >= {15}
+
+
 def test_run_gives_sequences(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and out.count() > 0
