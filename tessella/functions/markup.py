@@ -1,4 +1,4 @@
-"""Structure and links of markup fragments."""
+"""Structure and links of markup fragments: a stream of events first, and all else derived from it."""
 
 from __future__ import annotations
 
@@ -9,8 +9,11 @@ from typing import NamedTuple
 from tessella.functions.expressions import TAG
 
 _TAG = re.compile(TAG)
-#: Tags without content.
+#: What makes a text markup at all.
+_RELEVANT = re.compile(rf"{TAG}|<!--|<\?|(?i:<!DOCTYPE)")
+#: Tags without content, and attributes that hold links.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+LINKING = frozenset(("href", "src"))
 
 
 class Markup(NamedTuple):
@@ -21,61 +24,79 @@ class Markup(NamedTuple):
     attributes: list[str]
 
 
-class _Fragment(HTMLParser):
-    """Events as text: kind, tag and sorted attribute names, with blanks between."""
+class Event(NamedTuple):
+    """kind is one of open, empty (has no content), close, comment, pi, declaration."""
 
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, str]] = []  # tag and path
-        self.children = [0]
-        self.events, self.links, self.values, self.broken = [], [], [], False
+    kind: str
+    name: str = ""
+    attributes: tuple[tuple[str, str], ...] = ()
 
-    def _begin(self, tag: str, attrs: list, closed: bool) -> None:
-        tag = tag.lower()
-        path = f"{self.open[-1][1] if self.open else ''}/{tag}[{self.children[-1]}]"
-        self.children[-1] += 1
-        stays = not closed and tag not in VOID
-        self.events.append(" ".join(["start" if stays else "void", tag, *sorted(n.lower() for n, _ in attrs)]))
-        self.values += [v or "" for _, v in attrs]
-        self.links += [(path, n.lower(), v or "") for n, v in attrs if n.lower() in ("href", "src")]
-        if stays:
-            self.open.append((tag, path))
-            self.children.append(0)
+    def __str__(self) -> str:
+        return " ".join([self.kind, self.name, *sorted(k for k, _ in self.attributes)]).strip()
 
-    def handle_starttag(self, tag, attrs):
-        self._begin(tag, attrs, False)
 
-    def handle_startendtag(self, tag, attrs):
-        self._begin(tag, attrs, True)
-
-    def handle_endtag(self, tag):
-        if self.open and self.open[-1][0] == tag.lower():
-            self.open.pop()
-            self.children.pop()
-            self.events.append(f"end {tag.lower()}")
-        else:
-            self.broken = True
-
-    def handle_comment(self, data):
-        self.events.append("comment")
-
-    def handle_pi(self, data):
-        self.events.append("pi")
-
-    def handle_decl(self, decl):
-        self.broken = True
+def stream(text: str) -> list[Event]:
+    """The parser's events as they come; what can't be parsed counts as a declaration."""
+    out: list[Event] = []
+    tag = lambda kind, name, attributes: out.append(Event(kind, name.lower(), tuple((k.lower(), v or "") for k, v in attributes)))
+    parser = HTMLParser(convert_charrefs=True)
+    parser.handle_starttag = lambda name, attributes: tag("empty" if name.lower() in VOID else "open", name, attributes)
+    parser.handle_startendtag = lambda name, attributes: tag("empty", name, attributes)
+    parser.handle_endtag = lambda name: tag("close", name, ())
+    parser.handle_comment = lambda _: out.append(Event("comment"))
+    parser.handle_pi = lambda _: out.append(Event("pi"))
+    parser.handle_decl = lambda _: out.append(Event("declaration"))
+    try:
+        parser.feed(text)
+        parser.close()
+    except (ValueError, AssertionError):
+        out.append(Event("declaration"))
+    return out
+
+
+def partners(events: list[Event]) -> tuple[dict[int, int], set[int]]:
+    """close -> the open event that it ends, by place; and the places of events that have no partner."""
+    waiting: list[int] = []
+    ends: dict[int, int] = {}
+    alone: set[int] = set()
+    for i, e in enumerate(events):
+        if e.kind == "open":
+            waiting.append(i)
+        elif e.kind == "close":
+            if waiting and events[waiting[-1]].name == e.name:
+                ends[i] = waiting.pop()
+            else:
+                alone.add(i)
+    return ends, alone.union(waiting)
+
+
+def places(events: list[Event], ends: dict[int, int]) -> dict[int, str]:
+    """Where each element stands: its name and number among its siblings, after its parent's place."""
+    out: dict[int, str] = {}
+    inside, born = [""], {"": 0}
+    for i, e in enumerate(events):
+        if i in ends:
+            inside.pop()
+        elif e.kind in ("open", "empty"):
+            parent = inside[-1]
+            out[i] = f"{parent}/{e.name}[{born[parent]}]"
+            born[parent] += 1
+            if e.kind == "open":
+                inside.append(out[i])
+                born[out[i]] = 0
+    return out
 
 
 def parse_markup(text: str) -> Markup:
-    if not (_TAG.search(text) or "<!--" in text or "<?" in text or "<!DOCTYPE" in text.upper()):
+    if not _RELEVANT.search(text):
         return Markup(False, True, [], [], [])
-    f = _Fragment()
-    try:
-        f.feed(text)
-        f.close()
-    except (ValueError, AssertionError):
-        f.broken = True
-    return Markup(True, not f.broken and not f.open, f.events, sorted(f.links), f.values)
+    events = stream(text)
+    ends, alone = partners(events)
+    at = places(events, ends)
+    valid = not alone and all(e.kind != "declaration" for e in events)
+    told = [str(e) for i, e in enumerate(events) if e.kind != "declaration" and (e.kind != "close" or i in ends)]
+    links = sorted((at[i], k, v) for i, e in enumerate(events) for k, v in e.attributes if k in LINKING)
+    return Markup(True, valid, told, links, [v for e in events for _, v in e.attributes])
 
 
 def without_tags(text: str) -> str:

@@ -99,7 +99,7 @@ def render(content: bytes, translations: dict[str, str]) -> bytes:
     return "".join([*out, text[at:]]).encode("utf-8") if out else content
 
 
-@F.udtf(returnType=ENTRY)
+@F.udtf(returnType=ENTRY, useArrow=True)
 class ParseProperties:
     """LATERAL parse_properties(content): a row for each occurrence."""
 
@@ -108,11 +108,5 @@ class ParseProperties:
             yield i, *e
 
 
-@F.udf(T.StringType())
-def unescape_udf(text):
-    return None if text is None else unescape(text)
-
-
 def register(spark) -> None:
     spark.udtf.register("parse_properties", ParseProperties)
-    spark.udf.register("unescape_property", unescape_udf)
