@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.plans.lineage import cut
@@ -18,44 +22,53 @@ def within_count(df: DataFrame, order: list[str], most: int, out: str = "kept")
     return df.withColumn(out, F.coalesce(F.struct(*order) <= border, F.lit(False)))
 
 
+#: Rows of a range that `greedy` settles at once.
+RANGE_ROWS = 500_000
+
+
+def _fold(left: int):
+    """Rows that fit, of rows in order; what is left goes from batch to batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        room = left
+        for b in batches:
+            sizes, kept = b.column("s").to_numpy(), []
+            for i in np.flatnonzero(sizes <= room).tolist():  # what doesn't fit now never will
+                if sizes[i] <= room:
+                    room -= int(sizes[i])
+                    kept.append(i)
+            yield b.take(pa.array(kept, pa.int64()))
+
+    return run
+
+
 def greedy(df: DataFrame, order: list[str], size: str, budget: int, out: str = "kept") -> DataFrame:
     """out: whether a row fits in what the budget has left when its turn comes.
 
-    Where everything fits (one aggregate tells), nothing else is to be done. Otherwise the decision is sequential by
-    nature: rows that could never fit are settled where they are, blocks of rows that all fit are found by running sums
-    over ranges, and only from the first row that doesn't fit on are (order, size) folded in order.
+    Where everything fits (one aggregate tells), nothing else is to be done. Otherwise rows lie in sorted ranges, and one
+    number, what is left, goes from range to range: a range fits as a whole, or its least size is too large, and then its
+    sum and minimum settle it; only other ranges are folded, each in its order where it lies. Every fold leaves less, so
+    few ranges need one. Null sizes fit nothing.
     """
-    total = df.agg(F.sum(size)).first()[0] or 0
-    if total <= budget:
-        return df.withColumn(out, F.lit(True))
+    total, n = df.agg(F.sum(size), F.count(F.lit(1))).first()
+    if (total or 0) <= budget:
+        return df.withColumn(out, F.col(size).isNotNull())
     keys = [F.col(c) for c in order]
     narrow = df.where(F.col(size) <= budget).select(F.struct(*keys).alias("k"), F.col(size).cast("bigint").alias("s"))
-    # running sums by sorted ranges
-    ranges = max(2, df.sparkSession.sparkContext.defaultParallelism)
-    dealt = narrow.repartitionByRange(ranges, "k").withColumn("p", F.spark_partition_id())
-    dealt = cut(dealt)
-    sums = {r.p: r.s for r in dealt.groupBy("p").agg(F.sum("s").alias("s")).collect()}
-    start, starts = 0, []
-    for p in sorted(sums):
-        starts.append((p, start))
-        start += sums[p]
-    at = df.sparkSession.createDataFrame(starts or [(0, 0)], "p int, start long")
-    w = Window.partitionBy("p").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    run = dealt.join(F.broadcast(at), "p").withColumn("run", F.col("start") + F.sum("s").over(w))
-    first = run.where(F.col("run") > budget).agg(F.min("k").alias("k"), F.min(F.struct("k", F.col("run") - F.col("s"))).alias("x")).first()
-    if first.k is None:
-        fits = narrow.select("k", F.lit(True).alias("_fits"))
-        return _attach(df, order, fits, out)
-    used = first.x[1]
-    head = run.where(F.col("run") <= budget).select("k")
-    tail = run.join(head, "k", "left_anti").select("k", "s")
-    # what is larger than all that is left can't fit any more
-    small = tail.where(F.col("s") <= budget - used)
-    folded = small.agg(F.array_sort(F.collect_list(F.struct("k", "s"))).alias("rows")).select(
-        F.aggregate("rows", F.struct(F.lit(used).cast("bigint").alias("used"), F.array().cast(f"array<{small.schema['k'].dataType.simpleString()}>").alias("kept")), lambda a, x: F.when(a["used"] + x["s"] <= budget, F.struct((a["used"] + x["s"]).alias("used"), F.array_append(a["kept"], x["k"]).alias("kept"))).otherwise(a), lambda a: a["kept"]).alias("kept")
-    )
-    fits = head.union(folded.select(F.explode("kept").alias("k"))).withColumn("_fits", F.lit(True))
-    return _attach(df, order, fits, out)
+    dealt = cut(narrow.repartitionByRange(max(1, -(-n // RANGE_ROWS)), "k").withColumn("p", F.spark_partition_id()))
+    left, whole, folds = budget, [], []
+    for r in sorted(dealt.groupBy("p").agg(F.sum("s").alias("sum"), F.min("s").alias("least")).collect()):
+        if r["sum"] <= left:
+            whole.append(r.p)
+            left -= r["sum"]
+        elif r.least <= left:
+            mine = dealt.where(F.col("p") == r.p).select("k", "s").repartition(1).sortWithinPartitions("k")
+            folds.append(cut(mine.mapInArrow(_fold(left), mine.schema)))
+            left -= folds[-1].agg(F.sum("s")).first()[0] or 0
+    fits = dealt.where(F.col("p").isin(*whole)).select("k") if whole else dealt.where(F.lit(False)).select("k")
+    for f in folds:
+        fits = fits.union(f.select("k"))
+    return _attach(df, order, fits.withColumn("_fits", F.lit(True)), out)
 
 
 def _attach(df: DataFrame, order: list[str], fits: DataFrame, out: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions import expressions as E
@@ -162,9 +162,7 @@ def inner_reason(container: Column, path: Column, is_dir: Column, size: Column,
 
 
 def first_rule_join(rows: DataFrame, rules: DataFrame, path: str) -> DataFrame:
-    """rows with `reason` of the first rule (pos, glob_regex, reason) whose pattern matches. The rules are a configuration,
-    so broadcasting them is safe; prefer `first_rule` where they are known on the driver."""
-    tagged = rows.withColumn("_row", F.monotonically_increasing_id())
-    hit = tagged.join(F.broadcast(rules), F.expr(f"{path} rlike glob_regex"), "left")
-    w = Window.partitionBy("_row").orderBy("pos")
-    return hit.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n", "_row", "pos", "glob_regex")
+    """rows with `reason` of the first rule (pos, glob_regex, reason) whose pattern matches. Rules are a configuration: they
+    become one CASE, so that rows are neither joined nor shuffled and each pattern is compiled once."""
+    ordered = sorted(rules.select("pos", "glob_regex", "reason").collect())
+    return rows.withColumn("reason", first_rule([(F.col(path).rlike(r.glob_regex), r.reason) for r in ordered]))

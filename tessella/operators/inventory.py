@@ -10,6 +10,7 @@ from tessella.operators import classify
 from tessella.operators.budgets import greedy, within_count
 from tessella.operators.classify import ScanRules
 from tessella.plans.lineage import cut
+from tessella.sources.blobs import distinct_blobs
 from tessella.schemas import CANDIDATE_REASONS, TECHNICAL_DROPS, ScanError
 
 
@@ -40,18 +41,26 @@ def missing_selections(resources: DataFrame, selections: DataFrame) -> DataFrame
 
 
 def _several(column: str):
-    """Whether a group has several values: extremes of 64-bit hashes, which stay in a hash aggregate and need no expansion."""
-    return F.min(F.xxhash64(column)) < F.max(F.xxhash64(column))
+    """Whether a group has several values: extremes of two 64-bit hashes, which stay in a hash aggregate and need no expansion."""
+    one, other = F.xxhash64(column), F.xxhash64(F.lit("other"), column)
+    return (F.min(one) < F.max(one)) | (F.min(other) < F.max(other))
+
+
+def colliding(resources: DataFrame) -> DataFrame:
+    """The resources whose path is in more than one container, a row each, with content_identical: paths are found by
+    aggregates first, so that nothing is gathered for all others."""
+    g = resources.groupBy("resource_path").agg(_several("container").alias("_several"), (~_several("source_sha256")).alias("content_identical"))
+    return resources.join(g.where("_several").drop("_several"), "resource_path")
 
 
 def collisions(resources: DataFrame) -> DataFrame:
-    """Paths in more than one container, with their resources in order."""
+    """Paths in more than one container, with their resources in order: a list of one entry a container. `colliding` has them
+    as rows."""
     names = [c for c in resources.columns]
     member = F.struct("container", *(c for c in names if c != "container"))
-    g = resources.groupBy("resource_path").agg(F.array_sort(F.collect_list(member)).alias("resources"), _several("container").alias("several"), (~_several("source_sha256")).alias("same"))
-    same = F.col("same")
+    g = colliding(resources).groupBy("resource_path").agg(F.array_sort(F.collect_list(member)).alias("resources"), F.first("content_identical").alias("content_identical"))
     ordered = F.transform("resources", lambda r: F.struct(*(r[c].alias(c) for c in names)))
-    return g.where("several").select("resource_path", ordered.alias("resources"), same.alias("content_identical"), (~same).alias("unresolved"))
+    return g.select("resource_path", ordered.alias("resources"), "content_identical", (~F.col("content_identical")).alias("unresolved"))
 
 
 def collision_counts(resources: DataFrame) -> DataFrame:
@@ -75,8 +84,9 @@ def gate_by_reference(resources: DataFrame, reference: DataFrame, path: str = "r
     return resources.join(paths, F.col(path) == F.col("_p"), "left").withColumn("in_reference", F.col("_p").isNotNull()).drop("_p")
 
 
-def scan(spark: SparkSession, path: str, rules: ScanRules, read=None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(resources, exclusions, collisions) of an archive. Metadata decides everything; content is read for kept rows only."""
+def scan(spark: SparkSession, path: str, rules: ScanRules, with_contents: bool = False) -> tuple[DataFrame, ...]:
+    """(resources, exclusions, collisions) of an archive, and its blobs (source_sha256, size, content) if asked for. Metadata
+    decides everything; content is read for kept rows only, once."""
     from tessella.sources import nested_zip as source
 
     lim = rules.limits
@@ -112,8 +122,8 @@ def scan(spark: SparkSession, path: str, rules: ScanRules, read=None) -> tuple[D
     wanted = greedy(judged.where("reason IS NULL"), ["container", "path"], "file_size", lim["max_total_resource_bytes"], "fits")
     wanted = cut(wanted)
     no_room = wanted.where("NOT fits").select("container", F.col("path").alias("resource_path"), F.lit("total_resource_bytes_exceeded").alias("reason"))
-    content = source.read_members(spark, path, content="true", max_resource_bytes=str(lim["max_resource_bytes"])).select("container", "ordinal", "content", F.col("read_error").alias("error"))
-    read_rows = cut(wanted.where("fits").drop("content", "read_error").join(content, ["container", "ordinal"]).select("container", F.col("path").alias("resource_path"), F.sha2("content", 256).alias("source_sha256"), F.length("content").cast("bigint").alias("size"), "error"))
+    read_rows = source.read_contents(wanted.where("fits").select("container", "ordinal"), path)
+    read_rows = cut(read_rows.select("container", F.col("path").alias("resource_path"), F.sha2("content", 256).alias("source_sha256"), F.length("content").cast("bigint").alias("size"), "error", *(["content"] if with_contents else [])))
     unread = read_rows.where("error IS NOT NULL").select("container", "resource_path", F.col("error").alias("reason"))
     resources = read_rows.where("error IS NULL").select(
         E.joined_id(F.col("container"), F.col("resource_path")).alias("resource_id"), "container", "resource_path",
@@ -122,14 +132,30 @@ def scan(spark: SparkSession, path: str, rules: ScanRules, read=None) -> tuple[D
     resources, unselected = select_collisions(resources, rules)
     excluded = judged.where("reason IS NOT NULL").select("container", F.col("path").alias("resource_path"), "reason")
     exclusions = outer_out.unionByName(jar_out).unionByName(broken).unionByName(over).unionByName(excluded).unionByName(no_room).unionByName(unread).withColumn("detail", F.lit("")).unionByName(unselected)
-    return resources, exclusions, collisions(resources)
+    if not with_contents:
+        return resources, exclusions, collisions(resources)
+    stored = distinct_blobs(read_rows.where("error IS NULL").select("content").join(resources.select("source_sha256").distinct(), F.sha2("content", 256) == F.col("source_sha256"), "left_semi"))
+    return resources, exclusions, collisions(resources), stored
+
+
+def path_sets(resources: DataFrame, exclusions: DataFrame, reference: DataFrame, path: str = "resource_path") -> DataFrame:
+    """(p, candidate, reference, technical): every path once, with the sets that hold it: candidates (kept, or dropped for a
+    reason of CANDIDATE_REASONS), the reference, and technical drops."""
+    kept = resources.select(F.col(path).alias("p"), F.lit(True).alias("candidate"), F.lit(False).alias("reference"), F.lit(False).alias("technical"))
+    dropped = exclusions.where(F.col("reason").isin(*CANDIDATE_REASONS)).select(F.col(path), F.lit(True), F.lit(False), F.col("reason").isin(*TECHNICAL_DROPS))
+    return kept.union(dropped).union(reference.select(F.col(path), F.lit(False), F.lit(True), F.lit(False))).groupBy("p").agg(*(F.bool_or(c).alias(c) for c in ("candidate", "reference", "technical")))
 
 
 def coverage(resources: DataFrame, exclusions: DataFrame, reference: DataFrame, path: str = "resource_path") -> DataFrame:
     """One row: numbers of distinct candidate and reference paths, of what they share, and of what either lacks."""
-    kept = resources.select(F.col(path).alias("p"), F.lit(True).alias("c"))
-    dropped = exclusions.where(F.col("reason").isin(*CANDIDATE_REASONS)).select(F.col(path).alias("p"), F.lit(True).alias("c"))
-    tech = exclusions.where(F.col("reason").isin(*TECHNICAL_DROPS)).select(F.col(path).alias("p")).distinct().withColumn("t", F.lit(True))
-    both = kept.union(dropped).distinct().join(reference.select(F.col(path).alias("p")).distinct().withColumn("r", F.lit(True)), "p", "full_outer").join(tech, "p", "left")
     n = lambda e: F.coalesce(F.count_if(F.expr(e)), F.lit(0)).cast("bigint")
-    return both.agg(n("c").alias("candidates"), n("r").alias("reference_paths"), n("c AND r").alias("overlap"), n("c IS NULL AND r").alias("reference_only"), n("c AND r IS NULL").alias("candidates_only"), n("t AND r").alias("technical_drops_in_reference"))
+    return path_sets(resources, exclusions, reference, path).agg(
+        n("candidate").alias("candidates"), n("reference").alias("reference_paths"), n("candidate AND reference").alias("overlap"), n("NOT candidate AND reference").alias("reference_only"),
+        n("candidate AND NOT reference").alias("candidates_only"), n("technical AND reference").alias("technical_drops_in_reference"),
+    )
+
+
+def absent_by(resources: DataFrame, reference: DataFrame, path: str, kind: str) -> DataFrame:
+    """(kind, n): how many resources of each kind have a path that the reference lacks."""
+    gated = gate_by_reference(resources, reference, path)
+    return gated.where("NOT in_reference").groupBy(kind).agg(F.count(F.lit(1)).alias("n"))

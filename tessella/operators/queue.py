@@ -96,9 +96,10 @@ def changed_fields(units: DataFrame, batch: DataFrame, fixed=FIXED) -> DataFrame
 
 
 def upsert(units: DataFrame, replacements: DataFrame) -> DataFrame:
-    """units with whole rows replaced where `replacements` has their id. A batch is bounded, so it is broadcast."""
+    """units with whole rows replaced where `replacements` (one row an id) has their id. The planner broadcasts a batch of the
+    queue, which is a local table of at most MOST rows; a stream's may be larger and is joined as its size demands."""
     r = replacements.select(F.col("id").alias("_id"), F.struct(*units.columns).alias("_new"))
-    j = units.join(F.broadcast(r), units["id"] == r["_id"], "left")
+    j = units.join(r, units["id"] == r["_id"], "left")
     return j.select(*(F.when(F.col("_id").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in units.columns))
 
 

@@ -50,8 +50,9 @@ def broken_hashes(resources: DataFrame, contents: DataFrame) -> DataFrame:
 
 
 def case_clashes(paths: DataFrame, column: str) -> DataFrame:
-    """Output paths that differ in case only. `lower` stands for case folding, which it equals but for a few letters."""
-    return paths.select(column).distinct().groupBy(F.lower(column).alias("folded")).agg(F.array_sort(F.collect_list(column)).alias("paths")).where(F.size("paths") > 1)
+    """Output paths that differ in case only. Lower case with `ß` as `ss` stands for case folding, which it equals but for a few
+    letters."""
+    return paths.select(column).distinct().groupBy(F.replace(F.lower(column), F.lit("ß"), F.lit("ss")).alias("folded")).agg(F.array_sort(F.collect_list(column)).alias("paths")).where(F.size("paths") > 1)
 
 
 def require_none(problem: str, rows: DataFrame) -> None:

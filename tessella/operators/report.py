@@ -63,12 +63,17 @@ def snapshot(resources: DataFrame, exclusions: DataFrame, collisions: DataFrame,
         "batches": {"last_completed": checkpoint.completed_sequence, "current": checkpoint.current_sequence, "current_batch": checkpoint.current_batch},
         "generation": dict(generation or {"present": False}),
         "package": dict(package or {"present": False}),
-        "stale_units": {"count": stale.count(), "by_reason": table(stale, "reason")},
+        "stale_units": {"count": stale.count(), "by_reason": table(stale, "reason"), "records": [{"id": r.id, "reason": r.reason} for r in stale_records(stale).collect()]},
         "workflow_state": state.workflow_state,
         "next_command": f"import-batch {checkpoint.current_batch}" if checkpoint.current_batch else state.next_command,
     }
 
 
+def stale_records(stale: DataFrame) -> DataFrame:
+    """Stale units in the report's order."""
+    return stale.select("id", "reason", "context", "old_source_sha256", "scan_build").orderBy("reason", "id")
+
+
 def render_json(report: dict) -> str:
     return canonical(report) + "\n"
 
@@ -84,8 +89,11 @@ def render_markdown(report: dict, title: str = "Status") -> str:
         if not isinstance(body, dict):
             out += [f"- {_md(head)}: `{_md(body)}`"]
             continue
-        flat = {f"{k}.{x}" if isinstance(v, dict) else k: y for k, v in body.items() for x, y in (v.items() if isinstance(v, dict) else [(None, v)])}
+        lists = {k: v for k, v in body.items() if isinstance(v, list)}
+        flat = {f"{k}.{x}" if isinstance(v, dict) else k: y for k, v in body.items() if k not in lists for x, y in (v.items() if isinstance(v, dict) else [(None, v)])}
         out += [f"## {_md(head)}", "", "| Name | Value |", "|---|---:|", *(f"| {_md(k)} | {_md(v)} |" for k, v in flat.items()), ""]
+        for rows in lists.values():
+            out += [*("- " + ": ".join(f"`{_md(x)}`" for x in r.values()) for r in rows), *([""] if rows else [])]
     return "\n".join(out) + "\n"
 
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions import expressions as E
 from tessella.functions import properties
-from tessella.schemas import FINDINGS, REVIEWED, UNIT
+from tessella.schemas import FINDINGS
 
 
 def explode_units(resources: DataFrame) -> DataFrame:
@@ -66,11 +66,3 @@ def revalidate(units: DataFrame, glossary: dict | None = None) -> DataFrame:
     is_open = (F.col("target") == "") & (F.col("source") != "")
     found = F.when(is_open, F.array().cast(FINDINGS)).otherwise(V.findings(F.col("source"), F.col("target"), glossary))
     return units.withColumn("findings", found).withColumn("status", V.status(F.col("source"), F.col("target"), F.col("findings"))).select(*(c.split()[0] for c in ("id", "source", "source_sha256", "target", "context", "status", "findings")))
-
-
-def empty_units(spark) -> DataFrame:
-    return spark.createDataFrame([], UNIT)
-
-
-def reviewed(status: Column) -> Column:
-    return status.isin(*REVIEWED)

@@ -14,7 +14,9 @@ import zipfile
 import zlib
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tessella.schemas import ScanError, SourceError
@@ -44,7 +46,7 @@ def _reason(e: Exception) -> str:
 class NestedZipReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path, self.glob = options["path"], options.get("containers", "*.jar")
-        self.with_content, self.wanted = options.get("content", "false") == "true", set(filter(None, options.get("wanted", "").split("\n")))
+        self.with_content = options.get("content", "false") == "true"
         self.sha256, self.most = options.get("sha256"), int(options.get("max_resource_bytes", 1 << 62))
 
     def partitions(self):
@@ -65,7 +67,7 @@ class NestedZipReader(DataSourceReader):
             with inner:
                 for n, i in enumerate(inner.infolist()):
                     content, error = None, None
-                    if self.with_content and not i.is_dir() and i.file_size <= self.most and (not self.wanted or i.filename in self.wanted):
+                    if self.with_content and not i.is_dir() and i.file_size <= self.most:
                         try:
                             content = inner.read(i)
                         except _UNREADABLE as e:
@@ -74,8 +76,8 @@ class NestedZipReader(DataSourceReader):
 
 
 class NestedZip(DataSource):
-    """Options: path; containers (a glob on inner archives' names); content (true reads bytes); wanted (paths, by line);
-    sha256 (of the outer archive, checked before anything is read); max_resource_bytes."""
+    """Options: path; containers (a glob on inner archives' names); content (true reads all members' bytes; `read_contents`
+    reads chosen ones); sha256 (of the outer archive, checked before anything is read); max_resource_bytes."""
 
     @classmethod
     def name(cls) -> str:
@@ -97,6 +99,46 @@ def read_members(spark: SparkSession, path: str, **options: str) -> DataFrame:
     return spark.read.format("nested_zip").options(path=path, **options).load()
 
 
+CONTENTS = "container string, path string, ordinal int, content binary, error string"
+
+
+def read_contents(kept: DataFrame, path: str) -> DataFrame:
+    """Content (or why it can't be read) of the members (container, ordinal) of `kept`, and of no others: the ordinals of a
+    container meet where it is opened, once. Rows of about CHUNK bytes leave together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for name, ordinals in zip(b.column("container").to_pylist(), b.column("ordinals").to_pylist(), strict=True):
+                with zipfile.ZipFile(path) as outer, tempfile.SpooledTemporaryFile(SPOOL_BYTES) as spool:
+                    with outer.open(name) as f:
+                        while block := f.read(CHUNK):
+                            spool.write(block)
+                    held, rows = 0, []
+                    with zipfile.ZipFile(spool) as inner:
+                        members = inner.infolist()
+                        for n in sorted(ordinals):
+                            content, error = None, None
+                            try:
+                                content = inner.read(members[n])
+                            except _UNREADABLE as e:
+                                error = _reason(e)
+                            rows.append((name, members[n].filename, n, content, error))
+                            held += len(content or b"")
+                            if held >= CHUNK:
+                                yield _contents(rows)
+                                held, rows = 0, []
+                    if rows:
+                        yield _contents(rows)
+
+    grouped = kept.groupBy("container").agg(F.collect_set("ordinal").alias("ordinals"))
+    return grouped.mapInArrow(run, CONTENTS)
+
+
+def _contents(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.string(), pa.int32(), pa.binary(), pa.string())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["container", "path", "ordinal", "content", "error"])
+
+
 def fingerprint(path: str) -> tuple[str, int]:
     """SHA-256 and size of a file, read in blocks."""
     h, n = hashlib.sha256(), 0

@@ -20,9 +20,8 @@ def validated(pairs: DataFrame, glossary: dict | None = None) -> DataFrame:
 
 def import_into(path: str, checkpoint: str, stream: DataFrame):
     """Replaces the units at `path` (Parquet generations) batch by batch. A batch id that was applied is passed over, so a
-    restart after a crash applies each batch once."""
-    from pathlib import Path
-
+    restart after a crash applies each batch once. Of rows that repeat an id in a batch the greatest counts. Without a
+    generation there are no units to replace, and an empty one is made."""
     from tessella.plans.publish import Versions
 
     versions = Versions(path)
@@ -32,7 +31,8 @@ def import_into(path: str, checkpoint: str, stream: DataFrame):
         if now and (now / "batch_id").exists() and int((now / "batch_id").read_text()) >= batch_id:
             return
         spark = batch.sparkSession
-        units = spark.read.parquet(str(Path(now) / "units"))
-        versions.publish({"units": upsert(units, batch.select(*units.columns))}, {"batch_id": str(batch_id).encode()})
+        units = spark.read.parquet(str(now / "units")) if now else spark.createDataFrame([], batch.schema)
+        one = batch.select(*units.columns).groupBy(F.col("id").alias("_of")).agg(F.max(F.struct(*units.columns)).alias("_row")).select("_row.*")
+        versions.publish({"units": upsert(units, one)}, {"batch_id": str(batch_id).encode()})
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
