@@ -43,7 +43,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         print(f"error: {e}", file=sys.stderr)
         return 1
     print(out if not isinstance(out, dict) else json.dumps(out, ensure_ascii=False, sort_keys=True))
-    return 1 if out is False else 0
+    return 1 if out is False or (args.command == "import-batch" and out["blocking"]) else 0
 
 
 if __name__ == "__main__":

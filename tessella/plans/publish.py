@@ -65,7 +65,7 @@ class Versions:
 
     def current(self) -> Path | None:
         try:
-            return safe_path(self.root, (self.root / "CURRENT").read_text().strip())
+            return safe_path(self.root, (self.root / "CURRENT").read_text().split("\n")[0])
         except FileNotFoundError:
             return None
 
@@ -78,23 +78,33 @@ class Versions:
         for f, data in (files or {}).items():
             write_bytes(safe_path(folder, f), data)
         before = self.current()
-        write_bytes(self.root / "CURRENT", name.encode())
-        if before and before.exists():
-            shutil.rmtree(before)
+        write_bytes(self.root / "CURRENT", "\n".join([name, *([before.name] if before else [])]).encode())
+        self.recover()
         return folder
 
     def recover(self) -> None:
-        """Generations that no pointer names were cut short: they go."""
-        now = self.current()
+        """Generations that the pointer doesn't name were cut short, or are old: they go. It names the last one and the one
+        before, which tables that are still being read may point to."""
+        pointer = self.root / "CURRENT"
+        named = pointer.read_text().split("\n") if pointer.exists() else []
         for p in self.root.glob("v-*"):
-            if p != now:
+            if p.name not in named:
                 shutil.rmtree(p)
 
 
-def manifest(files: DataFrame, path: str = "target_path") -> DataFrame:
-    from pyspark.sql import functions as F
+def manifest(files: dict[str, bytes], inputs: str, build: str) -> bytes:
+    """What a generation was made from (a state digest), and each file's hash and size."""
+    outputs = {n: {"sha256": hashlib.sha256(d).hexdigest(), "size": len(d)} for n, d in sorted(files.items())}
+    return (canonical({"schema_version": 1, "build": build, "input_sha256": inputs, "outputs": outputs}) + "\n").encode()
+
 
-    return files.select(F.col(path).alias("id"), F.sha2("content", 256).alias("sha256"), F.length("content").cast("bigint").alias("size"))
+def tree_matches(root: Path, outputs: dict[str, dict]) -> bool:
+    """Whether a tree holds just these files, by hash and size, and no links."""
+    if root.is_symlink() or not root.is_dir() or any(p.is_symlink() for p in root.rglob("*")):
+        return False
+    files = {p.relative_to(root).as_posix(): p for p in root.rglob("*") if p.is_file()}
+    same = lambda n, p: p.stat().st_size == outputs[n]["size"] and hashlib.sha256(p.read_bytes()).hexdigest() == outputs[n]["sha256"]
+    return files.keys() == outputs.keys() and all(same(n, p) for n, p in files.items())
 
 
 def state_digest(tables: dict[str, DataFrame]) -> str:
@@ -126,5 +136,5 @@ def fill_descriptor(template: str, values: dict[str, str]) -> str:
     return template
 
 
-def dist_manifest(artifact: bytes, name: str) -> str:
-    return canonical({"artifact": name, "sha256": hashlib.sha256(artifact).hexdigest(), "size": len(artifact)}) + "\n"
+def dist_manifest(artifact: bytes, name: str, inputs: str = "") -> str:
+    return canonical({"artifact": name, "input_sha256": inputs, "sha256": hashlib.sha256(artifact).hexdigest(), "size": len(artifact)}) + "\n"

@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import fcntl
 import json
+import re
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,22 +15,25 @@ from tessella.functions import validation as V
 from tessella.operators import inventory, queue, render, report, units
 from tessella.operators.classify import ScanRules
 from tessella.plans import publish
+from tessella.plans.lineage import cut
 from tessella.schemas import COLLISION, EXCLUSION, ConfigError, EngineError, QueueError, RESOURCE, STALE_UNIT, UNIT
-from tessella.sources import jsonl, nested_zip
+from tessella.sources import blobs, jsonl, nested_zip
 
 PRODUCT_FIELDS = ("archive", "version", "build_number", "product_code", "sha256", "since_build", "until_build", "plugin_id", "plugin_version")
 TABLES = {"resources": RESOURCE, "exclusions": EXCLUSION, "collisions": COLLISION, "units": UNIT, "stale_units": STALE_UNIT}
+#: What the generated tree was made from, and its files.
+MANIFEST = "reports/generation.json"
 #: Used where config/descriptor.xml, a template with the same five placeholders, is missing.
 DESCRIPTOR = '<plugin><id>{{id}}</id><version>{{version}}</version><product-version since-build="{{since}}" until-build="{{until}}"/><change-notes><![CDATA[{{notes}}]]></change-notes></plugin>'
 
 
 class Workspace:
     """config/product.json, config/scanner.json, config/glossary.json and CHANGELOG.md are read; state/ holds generations of
-    tables, batches/ the exported batch, generated/ the rendered tree, dist/ the package, reports/ the status."""
+    tables, blobs/ the kept members' contents by hash, batches/ the exported batch, generated/ the rendered tree, dist/ the package, reports/ the status."""
 
     def __init__(self, spark: SparkSession, root: str | Path):
         self.spark, self.root = spark, Path(root).resolve()
-        self.state = publish.Versions(self.root / "state")
+        self.state, self.blobs = publish.Versions(self.root / "state"), publish.Versions(self.root / "blobs")
 
     # configuration
     def product(self) -> dict:
@@ -38,6 +42,9 @@ class Workspace:
             raise ConfigError("product.json needs just these texts: " + ", ".join(PRODUCT_FIELDS))
         if len(p["sha256"]) != 64 or set(p["sha256"]) - set("0123456789abcdef"):
             raise ConfigError("sha256 isn't one")
+        for k in ("since_build", "until_build"):
+            if not re.fullmatch(r"[0-9]+(?:\.[0-9]+)*(?:\.\*)?", p[k]):
+                raise ConfigError(f"{k} is no build range: digits with dots, and .* at the end at most")
         return p
 
     def rules(self) -> ScanRules:
@@ -46,6 +53,12 @@ class Workspace:
     def glossary(self) -> dict:
         path = self.root / "config/glossary.json"
         g = jsonl.loads(path.read_text("utf-8")) if path.exists() else {}
+        if not isinstance(g, dict) or set(g) - {"preferred_terms", "retained_terms"}:
+            raise ConfigError("glossary.json has preferred_terms and retained_terms only")
+        preferred, retained = g.get("preferred_terms", {}), g.get("retained_terms", [])
+        words = lambda v: isinstance(v, list) and all(isinstance(x, str) and x.strip() for x in v)
+        if not isinstance(preferred, dict) or not words(list(preferred)) or not all(words([v] if isinstance(v, str) else v) for v in preferred.values()) or not words(retained):
+            raise ConfigError("terms of the glossary are texts, or lists of texts")
         return g.get("preferred_terms", {}) | {t: [] for t in g.get("retained_terms", [])}
 
     @contextlib.contextmanager
@@ -70,8 +83,6 @@ class Workspace:
 
     def commit(self, checkpoint: queue.Checkpoint | None = None, **tables: DataFrame) -> None:
         """A new generation: the given tables, and the others as they are."""
-        from tessella.plans.lineage import cut
-
         everything = {n: cut(tables.get(n, self.table(n))) for n in TABLES}
         c = checkpoint or self.checkpoint()
         self.state.publish(everything, {"checkpoint.json": (jsonl.canonical(c.to_dict()) + "\n").encode()})
@@ -85,17 +96,14 @@ class Workspace:
         p, rules = self.product(), self.rules()
         path = str(self.root / p["archive"])
         nested_zip.validate_source(path, p)
-        resources, exclusions, collisions = inventory.scan(self.spark, path, rules)
-        contents = nested_zip.read_members(self.spark, path, content="true", sha256=p["sha256"]).select("container", F.col("path").alias("resource_path"), "content", "ordinal")
-        first = contents.groupBy("container", "resource_path").agg(F.min_by("content", "ordinal").alias("content"))
+        resources, exclusions, collisions, contents = inventory.scan(self.spark, path, rules, with_contents=True)
         previous = self.table("units")
-        fresh = units.explode_units(resources.join(first, ["container", "resource_path"]))
-        now = units.carry_over(fresh, previous)
+        fresh = units.explode_units(resources.join(contents.select("source_sha256", "content"), "source_sha256"))
+        now = cut(units.carry_over(fresh, previous))
         c = self.checkpoint()
-        if c.current_batch:
-            old, new = (df.where(F.col("id").isin(*c.unit_ids)) for df in (previous, now))
-            if not old.exceptAll(new).isEmpty():
-                raise QueueError("a batch is in flight, and the scan changes its units")
+        if c.current_batch and not (previous.exceptAll(now).isEmpty() and now.exceptAll(previous).isEmpty()):
+            raise QueueError("a batch is in flight, and the scan changes units")
+        self.blobs.publish({"blobs": contents})
         stale = units.stale_units(previous, now, p["build_number"])
         self.commit(c, resources=resources, exclusions=exclusions, collisions=collisions, units=now, stale_units=stale)
         return {r[0] + ":" + r[1]: r[2] for r in report.summary(*(self.table(t) for t in ("resources", "exclusions", "collisions", "units"))).collect()}
@@ -124,15 +132,26 @@ class Workspace:
         return self.table("units").where(V.is_blocking(F.col("findings"))).isEmpty()
 
     def files(self) -> dict[str, bytes]:
-        p = self.product()
-        contents = nested_zip.read_members(self.spark, str(self.root / p["archive"]), content="true", sha256=p["sha256"])
-        contents = contents.groupBy("container", F.col("path").alias("resource_path")).agg(F.min_by("content", "ordinal").alias("content"))
-        out = render.render(self.table("resources"), self.table("units"), contents)
+        """The rendered files, from the stored blobs: the archive isn't needed. Their total size is bounded by the scan's limits."""
+        resources, now = self.table("resources"), self.blobs.current()
+        if now is None:
+            raise EngineError("nothing is scanned yet")
+        contents = blobs.attach(resources, self.spark.read.parquet(str(now / "blobs"))).select("container", "resource_path", "content")
+        out = render.render(resources, self.table("units"), contents)
         return {r.target_path: bytes(r.content) for r in out.toLocalIterator()}
 
+    def inputs(self) -> str:
+        """Digest of what a generation is made from."""
+        return publish.state_digest({"resources": self.table("resources"), "units": self.table("units")})
+
+    def made(self, name: str) -> dict | None:
+        path = self.root / name
+        return jsonl.loads(path.read_text("utf-8")) if path.exists() else None
+
     def generate(self) -> dict:
         files = self.files()
         changed = publish.write_tree(self.root / "generated", files)
+        publish.write_bytes(self.root / MANIFEST, publish.manifest(files, self.inputs(), self.product()["build_number"]))
         return {"files": len(files), "changed": changed}
 
     def package(self) -> dict:
@@ -147,12 +166,19 @@ class Workspace:
         data = publish.package(files, "localization", descriptor)
         nested_zip.verify_zip(data)
         publish.write_bytes(self.root / "dist/localization.zip", data)
-        publish.write_bytes(self.root / "dist/manifest.json", publish.dist_manifest(data, "localization.zip").encode())
-        return json.loads(publish.dist_manifest(data, "localization.zip"))
+        told = publish.dist_manifest(data, "localization.zip", self.inputs())
+        publish.write_bytes(self.root / "dist/manifest.json", told.encode())
+        return json.loads(told)
 
     def status(self) -> dict:
-        made, packed = (self.root / "generated").exists(), (self.root / "dist/localization.zip").exists()
-        return report.snapshot(*(self.table(t) for t in ("resources", "exclusions", "collisions", "units", "stale_units")), self.checkpoint(), None, {"present": made, "valid": made}, {"present": packed, "valid": packed})
+        """The tree and the package are valid if they are, by hash, what was made, and were made from the units as they are now."""
+        tree, package, inputs = self.root / "generated", self.root / "dist/localization.zip", self.inputs()
+        made, packed = self.made(MANIFEST), self.made("dist/manifest.json")
+        tree_valid = bool(made) and made["input_sha256"] == inputs and publish.tree_matches(tree, made["outputs"])
+        zip_valid = tree_valid and bool(packed) and package.is_file() and packed["input_sha256"] == inputs and nested_zip.fingerprint(str(package)) == (packed["sha256"], packed["size"])
+        markers = sorted(p.name for p in self.root.glob("generated.*") if p.is_dir())
+        states = {"present": tree.exists(), "valid": tree_valid, "recovery": ", ".join(markers)}, {"present": package.exists(), "valid": zip_valid}
+        return report.snapshot(*(self.table(t) for t in ("resources", "exclusions", "collisions", "units", "stale_units")), self.checkpoint(), None, *states)
 
     def report(self) -> dict:
         r = self.status()
