@@ -1,6 +1,6 @@
 """Queries over the driver's tables, each through the engine's operators, with its SQL twin.
 
-The tables stand in for the engine's own: documents are resources (source is the container, doc_id the path), pages are whole
+The tables stand in for the engine's own: documents are resources (source is the container), pages are whole
 files, conversations are source/target pairs (a turn and the next), events are an exclusion log, labels a review state.
 """
 
@@ -43,10 +43,13 @@ class Tables:
 
     @property
     def resources(self) -> DataFrame:
-        """documents as resources whose path is their content's hash, so that copies collide."""
-        d = self.documents
+        """documents as resources. Of half of them the path is the content's hash, so that copies collide; of the others it is
+        the hash's beginning, which different contents share. A container has a path once, as in an inventory."""
         sha = E.sha256_text(F.col("text"))
-        return d.select(E.joined_id(F.col("source"), F.col("doc_id").cast("string")).alias("resource_id"), F.col("source").alias("container"), sha.alias("resource_path"), F.lit("tip").alias("resource_type"), F.octet_length("text").cast("bigint").alias("size"), sha.alias("source_sha256"), F.lit("open").alias("processing_status"))
+        path = F.when(sha < "8", F.substring(sha, 1, 2)).otherwise(sha)
+        d = self.documents.select("doc_id", F.col("source").alias("container"), path.alias("path"), sha.alias("sha"), F.octet_length("text").cast("bigint").alias("size"), F.col("doc_id").alias("ordinal"))
+        d = inventory.first_members(d).where("is_first")
+        return d.select(E.joined_id(F.col("container"), F.col("doc_id").cast("string")).alias("resource_id"), "container", F.col("path").alias("resource_path"), F.lit("tip").alias("resource_type"), "size", F.col("sha").alias("source_sha256"), F.lit("open").alias("processing_status"))
 
     @property
     def pairs(self) -> DataFrame:
@@ -56,7 +59,8 @@ class Tables:
 
 
 PAIRS = "SELECT conv_id, turn, source, target FROM (SELECT conv_id, turn, text AS source, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS target FROM conversations) WHERE target IS NOT NULL"
-RES = "SELECT source AS container, sha256(text) AS path, sha256(text) AS sha, octet_length(encode(text)) AS size, doc_id, text FROM documents"
+RES = """SELECT * FROM (SELECT source AS container, CASE WHEN sha256(text) < '8' THEN substr(sha256(text), 1, 2) ELSE sha256(text) END AS path, sha256(text) AS sha, octet_length(encode(text)) AS size, doc_id FROM documents)
+ QUALIFY row_number() OVER (PARTITION BY container, path ORDER BY doc_id) = 1"""
 
 
 # collisions and blobs
@@ -71,7 +75,7 @@ def collision_summary(t):
     return c.agg(F.count(F.lit(1)).alias("total"), F.count_if("content_identical").alias("identical"), F.count_if(~F.col("content_identical")).alias("unresolved"))
 
 
-@query(f"SELECT path AS resource_path, list_sort(list(container)) AS containers, TRUE AS content_identical, FALSE AS unresolved FROM ({RES}) GROUP BY path HAVING count(DISTINCT container) > 1")
+@query(f"SELECT path AS resource_path, list_sort(list(container)) AS containers, count(DISTINCT sha) = 1 AS content_identical, count(DISTINCT sha) > 1 AS unresolved FROM ({RES}) GROUP BY path HAVING count(DISTINCT container) > 1")
 def collision_members(t):
     c = inventory.collisions(t.resources)
     return c.select("resource_path", F.array_sort(F.transform("resources", lambda r: r["container"])).alias("containers"), "content_identical", "unresolved")
@@ -97,13 +101,16 @@ def unit_ids(t):
     return t.documents.select("doc_id", i.alias("id"), E.sha256_text(F.col("text")).alias("source_sha256"), E.id_prefix(i).alias("short_id"))
 
 
-@query(f"""WITH d AS (SELECT path, container, sha FROM ({RES})), g AS (SELECT path, list_sort(list(container)) AS m FROM d GROUP BY path HAVING count(DISTINCT container) > 1)
-SELECT path AS resource_path, CASE WHEN substr(path, 1, 1) < '4' THEN 'missing' ELSE 'content' END AS problem FROM g WHERE substr(path, 1, 1) < '4' OR substr(path, 1, 1) > 'b'""")
+@query(f"""WITH g AS (SELECT path, substr(path, 1, 1) AS c FROM ({RES}) GROUP BY path HAVING count(DISTINCT container) > 1)
+SELECT path AS resource_path, CASE WHEN c < '4' THEN 'missing' WHEN c = '5' THEN 'members' WHEN c = '6' THEN 'duplicate' ELSE 'content' END AS problem FROM g WHERE c < '4' OR c IN ('5', '6') OR c > 'b'
+UNION ALL SELECT 'x' || path, 'extra' FROM g WHERE c = '7'""")
 def collision_claims_check(t):
     derived = inventory.collisions(t.resources)
     first = F.substring("resource_path", 1, 1)
-    claimed = derived.where(first >= "4").withColumn("content_identical", F.when(first > "b", ~F.col("content_identical")).otherwise(F.col("content_identical")))
-    return inventory.check_claims(claimed, derived)
+    wrong = derived.where(first >= "4").withColumn("content_identical", F.when(first > "b", ~F.col("content_identical")).otherwise(F.col("content_identical")))
+    wrong = wrong.withColumn("resources", F.when(first == "5", F.slice("resources", 1, 1)).otherwise(F.col("resources")))
+    more = derived.where(first == "7").withColumn("resource_path", F.concat(F.lit("x"), "resource_path"))
+    return inventory.check_claims(wrong.unionByName(wrong.where(first == "6")).unionByName(more), derived)
 
 
 # classification
@@ -204,15 +211,21 @@ def coverage_metrics(t):
 
 @query("SELECT lang, count(*)::BIGINT AS n FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY lang")
 def not_present_by_type(t):
-    return t.documents.join(t.labels, "doc_id", "left_anti").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    return inventory.absent_by(t.documents.select("doc_id", "lang"), t.labels.select("doc_id"), "doc_id", "lang")
 
 
-@query("SELECT n_name AS resource_path, s_suppkey AS resource FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_nationkey % 2 = 1 OR s_suppkey % 7 = n_nationkey % 7")
+_SUPPLIED = "SELECT n_name AS resource_path, n_nationkey % 2 = 0 AS chosen, 'c' || (s_suppkey % 7) AS container, s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey"
+
+
+@query(f"""WITH s AS ({_SUPPLIED}) SELECT resource_path, container, s_suppkey AS resource, reason FROM (SELECT *, CASE WHEN chosen AND container <> min(container) OVER (PARTITION BY resource_path) THEN 'collision_not_selected' ELSE 'kept' END AS reason FROM s)""")
 def selection_rules(t):
     s = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
-    chosen = F.when(F.col("n_nationkey") % 2 == 0, F.col("n_nationkey") % 7)
-    stays = chosen.isNull() | (chosen == F.col("s_suppkey") % 7)
-    return s.where(stays).select(F.col("n_name").alias("resource_path"), F.col("s_suppkey").alias("resource"))
+    s = s.select(F.col("n_name").alias("resource_path"), F.concat(F.lit("c"), (F.col("s_suppkey") % 7).cast("string")).alias("container"), F.col("s_suppkey").alias("resource"), "n_nationkey")
+    chosen = s.where("n_nationkey % 2 = 0").groupBy("resource_path").agg(F.min("container").alias("c")).collect()  # a configuration of at most 25 rules
+    stays, gone = inventory.select_collisions(s, classify.ScanRules(selections=tuple((r.resource_path, r.c) for r in chosen)))
+    dropped = s.join(gone.select("container", "resource_path", "reason").distinct(), ["container", "resource_path"])
+    names = ["resource_path", "container", "resource", "reason"]
+    return stays.withColumn("reason", F.lit("kept")).select(*names).union(dropped.select(*names))
 
 
 @query("SELECT n_name AS resource_path, 'c' || (n_nationkey % 4) AS chosen FROM nation WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_nationkey = n_nationkey AND s_suppkey % 4 = n_nationkey % 4)")
@@ -223,19 +236,30 @@ def missing_selection(t):
     return inventory.missing_selections(have, wanted)
 
 
-@query("SELECT p_brand FROM part INTERSECT SELECT p_brand FROM part WHERE p_size > 40")
+def _paths(t):
+    """Candidates: brands and types of most parts; reference: those of large parts, and names that no candidate has."""
+    p = lambda where: t.part.where(where).select(F.col("p_brand").alias("path")).union(t.part.where(where).select("p_type"))
+    dropped = p("p_size BETWEEN 10 AND 14").withColumn("reason", F.lit("corrupt_archive"))
+    return inventory.path_sets(p("p_size < 10"), dropped, p("p_size > 46").union(t.nation.select("n_name")), "path")
+
+
+_OF_PARTS = """WITH c AS (SELECT p_brand AS path FROM part WHERE p_size < 15 UNION SELECT p_type FROM part WHERE p_size < 15),
+r AS (SELECT p_brand AS path FROM part WHERE p_size > 46 UNION SELECT p_type FROM part WHERE p_size > 46 UNION SELECT n_name FROM nation) """
+
+
+@query(_OF_PARTS + "SELECT path FROM c INTERSECT SELECT path FROM r")
 def candidate_intersection(t):
-    return t.part.select("p_brand").intersect(t.part.where("p_size > 40").select("p_brand"))
+    return _paths(t).where("candidate AND reference").select(F.col("p").alias("path"))
 
 
-@query("SELECT p_type FROM part EXCEPT SELECT p_type FROM part WHERE p_size = 50")
+@query(_OF_PARTS + "SELECT path FROM r EXCEPT SELECT path FROM c")
 def reference_difference(t):
-    return t.part.select("p_type").subtract(t.part.where("p_size = 50").select("p_type"))
+    return _paths(t).where("reference AND NOT candidate").select(F.col("p").alias("path"))
 
 
-@query("SELECT DISTINCT source AS path FROM documents UNION SELECT DISTINCT lang FROM documents")
+@query(_OF_PARTS + "SELECT path FROM c UNION SELECT path FROM r")
 def reference_union(t):
-    return t.documents.select(F.col("source").alias("path")).unionByName(t.documents.select(F.col("lang").alias("path"))).distinct()
+    return _paths(t).select(F.col("p").alias("path"))
 
 
 # generations
@@ -277,11 +301,11 @@ def stale_by_reason(t):
 
 
 # structural checks
-@query("""WITH p AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_linenumber <= 2), u AS (SELECT o_orderkey AS k, count(*) AS n FROM (SELECT o_orderkey FROM orders WHERE o_orderkey % 9 <> 0 UNION ALL SELECT o_orderkey FROM orders WHERE o_orderkey % 8 = 0 UNION ALL SELECT -o_orderkey - 1 FROM orders WHERE o_orderkey % 50 = 1) GROUP BY 1)
+@query("""WITH p AS (SELECT DISTINCT l_orderkey AS k FROM lineitem), u AS (SELECT o_orderkey AS k, count(*) AS n FROM (SELECT o_orderkey FROM orders WHERE o_orderkey % 9 <> 0 UNION ALL SELECT o_orderkey FROM orders WHERE o_orderkey % 8 = 0 UNION ALL SELECT -o_orderkey - 1 FROM orders WHERE o_orderkey % 50 = 1) GROUP BY 1)
 SELECT coalesce(p.k, u.k) AS key, CASE WHEN u.k IS NULL THEN 'missing' WHEN p.k IS NULL THEN 'extra' ELSE 'duplicate' END AS problem FROM p FULL JOIN u ON p.k = u.k WHERE u.k IS NULL OR p.k IS NULL OR u.n > 1""")
 def key_problems_full_outer(t):
     o, place = t.orders.select(F.col("o_orderkey").alias("key")), [F.lit("c").alias("container"), F.lit("r").alias("resource_path")]
-    parsed = t.lineitem.where("l_linenumber <= 2").select(*place, F.col("l_orderkey").alias("key"))
+    parsed = t.lineitem.select(*place, F.col("l_orderkey").alias("key"))
     have = o.where("key % 9 <> 0").union(o.where("key % 8 = 0")).union(o.where("key % 50 = 1").select(-F.col("key") - 1)).select(*place, "key")
     return render.key_problems(parsed, have).select("key", "problem")
 
@@ -293,18 +317,28 @@ def units_without_resource(t):
     return render.units_without_resource(u, r)
 
 
-@query("SELECT CAST(c_custkey AS VARCHAR) AS resource_id FROM customer WHERE c_mktsegment <> 'BUILDING' AND c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT CAST(c_custkey AS VARCHAR) AS resource_id FROM customer WHERE c_mktsegment <> 'BUILDING' AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey % 4 > 0)")
 def resources_without_unit(t):
-    u = t.orders.select(F.struct(F.lit("").alias("bundle"), F.lit("").alias("key"), F.lit("c").alias("container"), F.col("o_custkey").cast("string").alias("path")).alias("context"), *(F.lit("").alias(c) for c in ("id", "source", "source_sha256", "target", "status", "findings")))
+    u = t.orders.where("o_custkey % 4 > 0").select(F.struct(F.lit("").alias("bundle"), F.lit("").alias("key"), F.lit("c").alias("container"), F.col("o_custkey").cast("string").alias("path")).alias("context"), *(F.lit("").alias(c) for c in ("id", "source", "source_sha256", "target", "status", "findings")))
     r = t.customer.select(F.col("c_custkey").cast("string").alias("resource_id"), F.lit("c").alias("container"), F.col("c_custkey").cast("string").alias("resource_path"), F.when(F.col("c_mktsegment") == "BUILDING", "properties").otherwise("tip").alias("resource_type"))
     return render.resources_without_unit(r, u)
 
 
-@query("SELECT lower(source || '/' || lang) AS folded, count(*)::BIGINT AS n FROM (SELECT DISTINCT CASE WHEN doc_id % 2 = 0 THEN source ELSE upper(source) END AS source, lang FROM documents) GROUP BY 1 HAVING count(*) > 1")
+@query("SELECT lower(c_mktsegment) || '/strasse' AS folded, count(DISTINCT CASE WHEN c_custkey % 3 = 0 THEN lower(c_mktsegment) || '/STRASSE' WHEN c_custkey % 3 = 1 THEN c_mktsegment || '/Straße' ELSE c_mktsegment || '/strasse' END)::BIGINT AS n FROM customer GROUP BY 1 HAVING n > 1")
 def case_clashes(t):
-    s = F.when(F.col("doc_id") % 2 == 0, F.col("source")).otherwise(F.upper("source"))
-    out = render.case_clashes(t.documents.select(F.concat(s, F.lit("/"), "lang").alias("path")), "path")
-    return out.select("folded", F.size("paths").cast("bigint").alias("n"))
+    n = F.col("c_custkey") % 3
+    path = F.when(n == 0, F.concat(F.lower("c_mktsegment"), F.lit("/STRASSE"))).when(n == 1, F.concat("c_mktsegment", F.lit("/Straße"))).otherwise(F.concat("c_mktsegment", F.lit("/strasse")))
+    return render.case_clashes(t.customer.select(path.alias("path")), "path").select("folded", F.size("paths").cast("bigint").alias("n"))
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS resource_id FROM documents WHERE text IS NOT NULL AND (doc_id % 5 = 0 OR doc_id % 7 = 0 OR doc_id % 11 = 0)")
+def broken_hashes(t):
+    """Sources that aren't what the inventory says: another hash, another size, or none."""
+    d, n = t.documents.where("text IS NOT NULL"), F.col("doc_id")
+    place = [F.lit("c").alias("container"), n.cast("string").alias("resource_path")]
+    sha = F.when(n % 5 == 0, F.lit("0" * 64)).otherwise(E.sha256_text(F.col("text")))
+    resources = d.select(n.cast("string").alias("resource_id"), *place, sha.alias("source_sha256"), (F.octet_length("text") + (n % 7 == 0).cast("int")).cast("bigint").alias("size"))
+    return render.broken_hashes(resources, d.where("doc_id % 11 <> 0").select(*place, F.encode("text", "utf-8").alias("content")))
 
 
 # queue
@@ -404,16 +438,18 @@ def template_tokens(t):
     return t.documents.select("doc_id", F.size(E.template_tokens(F.replace("text", F.lit(" of "), F.lit(" ${of} $OF$ ")))).cast("bigint").alias("n"))
 
 
-@query("SELECT doc_id, CASE WHEN length(text) > 2 THEN list_concat(['mnemonic:&', 'escaped:_'], list_transform(range(0, length(text) - length(replace(text, '&', ''))), lambda i: '?'))[1:2] ELSE [] END AS tokens FROM documents WHERE NOT contains(text, '&') AND NOT contains(text, '_') AND length(text) > 2")
+@query()
 def mnemonic_tokens(t):
-    d = t.documents.where("NOT contains(text, '&') AND NOT contains(text, '_') AND length(text) > 2")
-    return d.select("doc_id", E.mnemonic_tokens(F.concat(F.lit("&File a&b __x "), "text")).alias("tokens"))
+    """All documents' own texts. Without a SQL twin, as its regular expressions can't look behind; tests hold it against the
+    plain version."""
+    return t.documents.select("doc_id", E.mnemonic_tokens(F.col("text")).alias("tokens"))
 
 
-@query()
-def mnemonic_tokens_whole(t):
-    """All documents' own texts; without a SQL twin, as its regular expressions can't look behind."""
-    return t.documents.select("doc_id", E.mnemonic_tokens(F.col("text")).alias("tokens"))
+@query("SELECT doc_id, len(string_split(regexp_replace(text, '\\r\\n|\\r', chr(10), 'g'), chr(10)))::BIGINT AS lines, regexp_matches(text, '(^|[^\\\\])(\\\\\\\\)*\\\\$') AS continued FROM (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN text || chr(13) || 'x' || chr(92) WHEN 1 THEN text || chr(92) || chr(92) ELSE text END AS text FROM documents)")
+def natural_lines(t):
+    n, back = F.col("doc_id") % 4, "\\"
+    text = F.when(n == 0, F.concat("text", F.lit("\rx" + back))).when(n == 1, F.concat("text", F.lit(back * 2))).otherwise(F.col("text"))
+    return t.documents.select("doc_id", text.alias("text")).select("doc_id", F.size(E.natural_lines(F.col("text"))).cast("bigint").alias("lines"), E.is_continued(F.col("text")).alias("continued"))
 
 
 @query("SELECT page_id, len(regexp_extract_all(html, '</?[A-Za-z][^<>]*>'))::BIGINT AS tags, length(regexp_replace(html, '</?[A-Za-z][^<>]*>', '', 'g'))::BIGINT AS visible FROM pages")
@@ -475,10 +511,9 @@ def split_property(t):
     return t.nation.select(F.col("n_nationkey").alias("id"), E.split_property(line).alias("p")).select("id", "p.key", "p.value")
 
 
-@query("SELECT doc_id, replace(rtrim(replace(text, chr(13), ''), chr(10)), chr(10), chr(13) || chr(10)) || chr(13) || chr(10) AS text FROM documents WHERE contains(text, chr(10))")
+@query("SELECT doc_id, replace(rtrim(regexp_replace(text, '\\r\\n|\\r', chr(10), 'g'), chr(10)), chr(10), chr(13) || chr(10)) || chr(13) || chr(10) AS text FROM documents")
 def newline_normalise(t):
-    d = t.documents.where(F.col("text").contains("\n"))
-    return d.select("doc_id", E.normalise_newlines(F.lit("a\r\nb\r\n"), F.col("text")).alias("text"))
+    return t.documents.select("doc_id", E.normalise_newlines(F.lit("a\r\nb\r\n"), F.col("text")).alias("text"))
 
 
 @query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN source || '_de.properties' ELSE source || '.html' END AS path, source AS stem FROM documents")

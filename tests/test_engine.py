@@ -88,7 +88,9 @@ def test_scan_budgets(spark, tmp_path):
 
 
 @pytest.mark.parametrize("budget", [0, 50, 500, 10**6])
-def test_greedy_budget(spark, budget):
+@pytest.mark.parametrize("rows", [500_000, 13])
+def test_greedy_budget(spark, monkeypatch, budget, rows):
+    monkeypatch.setattr(budgets, "RANGE_ROWS", rows)
     r = random.Random(budget)
     data = [(i, r.randint(0, 40)) for i in range(120)]
     left, want = budget, {}
@@ -128,6 +130,7 @@ def test_commands_end_to_end(spark, tmp_path, capsys):
     batch.write_bytes(jsonl.serialize([done(r) for r in rows]))
     assert call("import-batch", str(batch)) == 0
     assert call("next-batch") == 0
+    (tmp_path / "product.zip").rename(tmp_path / "away.zip")  # generation needs the stored blobs only
     batch = max((tmp_path / "batches").iterdir())
     batch.write_bytes(jsonl.serialize([done(json.loads(x)) for x in batch.read_text().splitlines()]))
     assert call("import-batch", str(batch)) == 0 and call("validate") == 0 and call("generate") == 0
@@ -138,6 +141,14 @@ def test_commands_end_to_end(spark, tmp_path, capsys):
     assert call("package") == 0 and (tmp_path / "dist/localization.zip").read_bytes() == first
     assert set(nested_zip.verify_zip(nested_zip.verify_zip(first)["localization/lib/localization.jar"])) == {"META-INF/plugin.xml", "m_de.properties", "tips/t.html"}
     assert call("status") == 0 and json.loads(capsys.readouterr().out.splitlines()[-1])["workflow_state"] == "complete"
+    # an edited file, or units that have changed, make what was generated invalid
+    page = tmp_path / "generated/tips/t.html"
+    page.write_bytes(b"<p>Tapp</p>\r\n")
+    assert w.status()["workflow_state"] == "generate" and not w.status()["package"]["valid"]
+    assert call("generate") == 0 and w.status()["workflow_state"] == "complete"
+    w.commit(units=w.table("units").withColumn("target", F.when(F.col("context.key") == "name", "Titel").otherwise(F.col("target"))))
+    assert not w.status()["generation"]["valid"] and call("package") == 1 and call("generate") == 0 and not w.status()["package"]["valid"]
+    assert call("package") == 0 and w.status()["workflow_state"] == "complete"
     # a new version of the product carries what it can
     workspace(tmp_path, [("m.properties", b"save=Save {0}\nname=Names\n"), ("tips/t.html", b"<p>Tip</p>\r\n")])
     assert call("scan") == 0
@@ -146,6 +157,34 @@ def test_commands_end_to_end(spark, tmp_path, capsys):
     assert call("bogus") == 2
 
 
+def test_blocking_batches_and_scans_in_flight(spark, tmp_path):
+    workspace(tmp_path, [("m.properties", b"a=A {0}\nb=B\n")])
+    call = lambda *a: main(["--root", str(tmp_path), *a], spark)
+    assert call("scan") == 0 and call("next-batch", "--limit", "1") == 0
+    batch = next((tmp_path / "batches").iterdir())
+    assert call("scan") == 0  # nothing changes
+    workspace(tmp_path, [("m.properties", b"a=A {0}\nb=B\nc=C\n")])
+    assert call("scan") == 1  # another unit, while the batch is out
+    rows = [json.loads(x) for x in batch.read_text().splitlines()]
+    batch.write_bytes(jsonl.serialize([r | {"target": "{9} " + r["source"]} for r in rows]))
+    assert call("import-batch", str(batch)) == 1  # imported, but a finding blocks
+    assert call("import-batch", str(batch)) == 1 and Workspace(spark, tmp_path).checkpoint().completed_sequence == 1
+    for bad in ({"preferred_terms": []}, {"other": {}}, {"preferred_terms": {"a": [1]}}):
+        (tmp_path / "config/glossary.json").write_text(json.dumps(bad))
+        assert call("validate") == 1
+    product = json.loads((tmp_path / "config/product.json").read_text())
+    (tmp_path / "config/product.json").write_text(json.dumps(product | {"until_build": "10.x"}))
+    assert call("scan") == 1
+
+
+def test_contents_of_kept_members_only(spark, tmp_path):
+    p = archive(tmp_path / "o.zip", [("a.jar", jar([("x", b"1"), ("y", b"2" * 10), ("z", b"3")])), ("b.jar", jar([("x", b"4")]))])
+    kept = spark.createDataFrame([("a.jar", 2), ("a.jar", 0)], "container string, ordinal int")
+    assert sorted((r.container, r.path, r.ordinal, bytes(r.content), r.error) for r in nested_zip.read_contents(kept, p).collect()) == [("a.jar", "x", 0, b"1", None), ("a.jar", "z", 2, b"3", None)]
+    out = inventory.scan(spark, archive(tmp_path / "p.zip", [("a.jar", jar([("m.properties", b"k=1"), ("n.properties", b"k=1"), ("A.class", b"no")]))]), ScanRules(), with_contents=True)
+    assert [bytes(r.content) for r in out[3].collect()] == [b"k=1"]
+
+
 def test_checkpoint_rules():
     with pytest.raises(QueueError):
         queue.Checkpoint(1, 3, "3-a.jsonl", ["a"], "d")
@@ -268,3 +307,10 @@ def test_imports_once(spark, tmp_path):
         s = spark.readStream.schema("id string, target string").parquet(str(tmp_path / "in"))
         import_into(str(tmp_path / "state"), str(tmp_path / "cp"), s).awaitTermination(60)
     assert sorted(tuple(r) for r in spark.read.parquet(str(v.current() / "units")).collect()) == [("1", "a"), ("2", "x")]
+    # no generation yet, and a batch that repeats an id
+    spark.createDataFrame([("2", "a"), ("2", "b")], "id string, target string").write.parquet(str(tmp_path / "twice"))
+    for state, want in (("fresh", []), ("state", [("1", "a"), ("2", "b")])):
+        s = spark.readStream.schema("id string, target string").parquet(str(tmp_path / "twice"))
+        (tmp_path / "state" / v.current().name / "batch_id").unlink(missing_ok=True)
+        import_into(str(tmp_path / state), str(tmp_path / f"cp-{state}"), s).awaitTermination(60)
+        assert sorted(tuple(r) for r in spark.read.parquet(str(publish.Versions(tmp_path / state).current() / "units")).collect()) == want
