@@ -420,10 +420,9 @@ def _groups(rows: DataFrame, parts: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.when(~large, F.col("sets"))), F.lit(0)).alias("few"), F.coalesce(F.sum(F.when(~large, F.col("shingles"))), F.lit(0)).alias("of_few"),
     ).where("parts > 1")
     width = F.least(F.lit(TRIE_SETS), F.greatest(F.lit(LEAST_SETS), F.col("few") / 8))
-    wide = F.least(F.lit(TRIE_SETS), F.greatest(F.lit(LEAST_SETS), F.col("few")))
     blocks = lambda n, tokens, w: F.greatest(F.ceil(n / w), F.ceil(tokens / TRIE_TOKENS)).cast("int")
-    mixed = cut(mixed.select("component", "members", blocks(F.col("few"), F.col("of_few"), width).alias("mixed"), wide.alias("wide")))
-    sized = cut(parts.join(mixed, "component").select("component", "part", "sets", "members", "mixed", F.when(large, blocks(F.col("sets"), F.col("shingles"), F.col("wide"))).otherwise(0).alias("blocks")))
+    mixed = cut(mixed.select("component", "members", blocks(F.col("few"), F.col("of_few"), width).alias("mixed"), width.alias("width")))
+    sized = cut(parts.join(mixed, "component").select("component", "part", "sets", "members", "mixed", F.when(large, blocks(F.col("sets"), F.col("shingles"), F.col("width"))).otherwise(0).alias("blocks")))
     of_group = cut(sized.groupBy("component").agg(F.max("members").alias("members"), F.max("mixed").alias("mixed"), F.collect_list(F.when(F.col("blocks") > 0, F.struct("part", "blocks"))).alias("larges")))
     placed = lookup(lookup(rows, sized.select("part", "sets", "blocks"), "part", "sets", F.xxhash64("node")).where("blocks IS NOT NULL"), of_group, "component", "members", F.xxhash64("node"))
     hashed = F.xxhash64("node")
