@@ -18,10 +18,14 @@ HOT_KEYS = 1024
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors see; a temporary one only where that is unset."""
+    """The folder in spark.checkpoint.dir, which all executors see. Where that is unset, a temporary one serves a local
+    master; a cluster, whose executors wouldn't see it, is an error."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tessella-checkpoint-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and sc.master.split("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors see")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tessella-checkpoint-"))
     return sc.getCheckpointDir()
 
 
