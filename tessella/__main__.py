@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 from tessella.plans.workspace import Workspace
 from tessella.schemas import EngineError
 
-COMMANDS = ("validate-source", "scan", "validate", "generate", "package", "report", "status", "next-batch", "import-batch")
+COMMANDS = ("validate-source", "scan", "validate", "generate", "package", "report", "status", "next-batch", "import-batch", "export")
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -34,7 +34,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     try:
         with w.locked(shared):
             if not shared:
-                w.state.recover()
+                w.recover()
             call = getattr(w, args.command.replace("-", "_"))
             out = call(args.limit) if args.command == "next-batch" else call(args.path) if args.command == "import-batch" else call()
             if not shared and args.command != "report":

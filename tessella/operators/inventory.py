@@ -84,13 +84,14 @@ def gate_by_reference(resources: DataFrame, reference: DataFrame, path: str = "r
     return resources.join(paths, F.col(path) == F.col("_p"), "left").withColumn("in_reference", F.col("_p").isNotNull()).drop("_p")
 
 
-def scan(spark: SparkSession, path: str, rules: ScanRules, with_contents: bool = False) -> tuple[DataFrame, ...]:
+def scan(spark: SparkSession, path: str, rules: ScanRules, with_contents: bool = False, seen: str | None = None) -> tuple[DataFrame, ...]:
     """(resources, exclusions, collisions) of an archive, and its blobs (source_sha256, size, content) if asked for. Metadata
-    decides everything; content is read for kept rows only, once."""
+    decides everything; content is read for kept rows only, once. All reads are of the file that was `seen`."""
     from tessella.sources import nested_zip as source
 
     lim = rules.limits
-    outer = source.scan_limit(source.read_outer(spark, path), lim["max_outer_members"])
+    seen = seen or source.identity(path)
+    outer = source.scan_limit(source.read_outer(spark, path, seen), lim["max_outer_members"])
     reason, too_large = classify.outer_reason(F.col("name"), F.col("is_dir"), F.col("file_size"), rules)
     plain = [~F.col("is_dir"), classify.is_safe(F.col("name")), F.lower("name").endswith(".jar")]
     o = outer.withColumn("reason", reason)
@@ -101,7 +102,7 @@ def scan(spark: SparkSession, path: str, rules: ScanRules, with_contents: bool =
     jar_out = jars.where("reason IS NOT NULL").select("name", "reason").union(open_jars.where("NOT fits").select("name", F.lit("total_nested_jar_bytes_exceeded").alias("reason"))).select(F.col("name").alias("container"), F.lit("").alias("resource_path"), "reason")
     opened = open_jars.where("fits").select(F.col("name").alias("container"))
 
-    everything = cut(source.read_members(spark, path))
+    everything = cut(source.read_members(spark, path, seen=seen))
     members = everything.join(opened, "container", "left_semi")
     broken = members.where("ordinal < 0").select("container", F.lit("").alias("resource_path"), F.col("read_error").alias("reason"))
     per_jar = members.where("ordinal >= 0").groupBy("container").agg(F.count(F.lit(1)).alias("n"))
@@ -122,7 +123,7 @@ def scan(spark: SparkSession, path: str, rules: ScanRules, with_contents: bool =
     wanted = greedy(judged.where("reason IS NULL"), ["container", "path"], "file_size", lim["max_total_resource_bytes"], "fits")
     wanted = cut(wanted)
     no_room = wanted.where("NOT fits").select("container", F.col("path").alias("resource_path"), F.lit("total_resource_bytes_exceeded").alias("reason"))
-    read_rows = source.read_contents(wanted.where("fits").select("container", "ordinal"), path)
+    read_rows = source.read_contents(wanted.where("fits").select("container", "ordinal"), path, seen)
     read_rows = cut(read_rows.select("container", F.col("path").alias("resource_path"), F.sha2("content", 256).alias("source_sha256"), F.length("content").cast("bigint").alias("size"), "error", *(["content"] if with_contents else [])))
     unread = read_rows.where("error IS NOT NULL").select("container", "resource_path", F.col("error").alias("reason"))
     resources = read_rows.where("error IS NULL").select(

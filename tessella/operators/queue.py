@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import hashlib
-from dataclasses import dataclass, field
+import re
+from dataclasses import dataclass, field, fields
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from tessella.schemas import QueueError, UNIT
 from tessella.sources.jsonl import canonical
 
 SCHEMA_VERSION, MOST = 1, 1000
+BATCHES = "batches"
 FIXED = ("source", "source_sha256", "context", "status", "findings")
 
 
@@ -31,11 +33,15 @@ class Checkpoint:
             raise QueueError("checkpoint of another version or with a bad sequence")
         if any(x is None for x in active) != all(x is None for x in active) or bool(self.unit_ids) != (self.current_sequence is not None):
             raise QueueError("checkpoint with half a batch")
+        if any(type(x) is not str or not x for x in self.unit_ids):
+            raise QueueError("checkpoint whose unit ids aren't texts")
         if self.current_sequence is not None:
             if self.current_sequence != self.completed_sequence + 1 or len(set(self.unit_ids)) != len(self.unit_ids) or len(self.unit_ids) > MOST:
                 raise QueueError("checkpoint whose batch doesn't follow")
             if self.current_batch != batch_name(self.current_sequence, self.unit_ids[0]):
                 raise QueueError("checkpoint with another batch's name")
+            if type(self.batch_digest) is not str or not re.fullmatch("[0-9a-f]{64}", self.batch_digest):
+                raise QueueError("checkpoint whose digest isn't one")
 
     def to_dict(self) -> dict:
         batch = self.current_batch
@@ -43,7 +49,13 @@ class Checkpoint:
 
     @classmethod
     def from_dict(cls, d: dict) -> Checkpoint:
-        return cls(d["completed_sequence"], d["current_sequence"], d["current_batch"], list(d["unit_ids"]), d["batch_digest"], d["schema_version"])
+        """The checkpoint that `to_dict` writes just so; an error for any other record."""
+        if type(d) is not dict or not {f.name for f in fields(cls)} <= d.keys() or type(d["unit_ids"]) is not list:
+            raise QueueError("checkpoint with other fields")
+        out = cls(**{f.name: d[f.name] for f in fields(cls)})
+        if canonical(out.to_dict()) != canonical(d):
+            raise QueueError("checkpoint whose count, command or fields don't follow from its batch")
+        return out
 
 
 def batch_name(sequence: int, first_id: str) -> str:
@@ -108,8 +120,8 @@ def import_batch(units: DataFrame, batch: list[dict], checkpoint: Checkpoint, gl
     may not change is an error and changes nothing; findings that block don't keep a batch out."""
     if not checkpoint.current_batch:
         raise QueueError("no batch in flight")
-    fields = {*units.columns, "batch"}
-    if [r.get("id") for r in batch] != checkpoint.unit_ids or any(set(r) != fields for r in batch):
+    names = {*units.columns, "batch"}
+    if [r.get("id") for r in batch] != checkpoint.unit_ids or any(set(r) != names for r in batch):
         raise QueueError("other units, another order or other fields than exported")
     envelope = _sealed([{}] * 1, checkpoint)[0]["batch"] | {"count": len(batch)}
     if any(r["batch"] != envelope for r in batch) or digest(batch, checkpoint.current_sequence, checkpoint.current_batch) != checkpoint.batch_digest:

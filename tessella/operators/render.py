@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,10 +50,29 @@ def broken_hashes(resources: DataFrame, contents: DataFrame) -> DataFrame:
     return j.where(bad).select("resource_id")
 
 
+def stray_contents(resources: DataFrame, contents: DataFrame) -> DataFrame:
+    """(container, resource_path) of contents that no resource claims, or that are there more than once."""
+    n = contents.groupBy(*PLACE).agg(F.count(F.lit(1)).alias("_n"))
+    j = n.join(resources.select(*PLACE).distinct().withColumn("_claimed", F.lit(True)), list(PLACE), "left")
+    return j.where(F.col("_claimed").isNull() | (F.col("_n") > 1)).select(*PLACE)
+
+
+def folded(paths: DataFrame, column: str) -> DataFrame:
+    """paths with `folded`, the column's case folding: lower case in the JVM where all is ASCII, and Unicode's rule, which no
+    built-in expression has, for the rest."""
+    ascii_only = F.col(column).rlike(r"^\p{ASCII}*$")
+
+    @F.pandas_udf("string")
+    def fold(c: pd.Series) -> pd.Series:
+        return c.str.casefold()
+
+    rest = paths.where(~ascii_only)
+    return paths.where(ascii_only).withColumn("folded", F.lower(column)).unionByName(rest.withColumn("folded", fold(column)))
+
+
 def case_clashes(paths: DataFrame, column: str) -> DataFrame:
-    """Output paths that differ in case only. Lower case with `ß` as `ss` stands for case folding, which it equals but for a few
-    letters."""
-    return paths.select(column).distinct().groupBy(F.replace(F.lower(column), F.lit("ß"), F.lit("ss")).alias("folded")).agg(F.array_sort(F.collect_list(column)).alias("paths")).where(F.size("paths") > 1)
+    """Output paths that differ in case only."""
+    return folded(paths.select(column).distinct(), column).groupBy("folded").agg(F.array_sort(F.collect_list(column)).alias("paths")).where(F.size("paths") > 1)
 
 
 def require_none(problem: str, rows: DataFrame) -> None:
@@ -89,6 +109,7 @@ def render(resources: DataFrame, units: DataFrame, contents: DataFrame) -> DataF
     require_none("units without resource", units_without_resource(units, resources))
     require_none("resources without unit", resources_without_unit(resources, units))
     require_none("broken sources", broken_hashes(resources, contents))
+    require_none("contents without one resource", stray_contents(resources, contents))
     require_none("changed unit sources", units.where(E.sha256_text(F.col("source")) != F.col("source_sha256")).select("id"))
     pairs = _units(units).groupBy(*PLACE).agg(F.collect_list(F.struct("key", "source", "target")).alias("units"))
     rows = resources.join(contents.select(*PLACE, "content"), list(PLACE)).join(pairs, list(PLACE), "left").select("resource_path", "resource_type", "content", "units")

@@ -5,15 +5,22 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 import shutil
 import uuid
 from pathlib import Path
+from xml.etree import ElementTree
 
 from pyspark.sql import DataFrame
 
-from tessella.schemas import OutputPathError
-from tessella.sources.jsonl import canonical
-from tessella.sources.nested_zip import zip_bytes
+from tessella.schemas import OutputPathError, PackageError
+from tessella.sources.jsonl import canonical, loads
+from tessella.sources.nested_zip import verify_zip, zip_bytes
+
+#: Files that are to be written together.
+PENDING = ".pending.json"
+#: Hashes that a group of the state digest holds on average.
+LEAF = 4096
 
 
 def safe_path(root: Path, relative: str) -> Path:
@@ -38,6 +45,20 @@ def write_bytes(path: Path, data: bytes) -> None:
         temp.unlink(missing_ok=True)
 
 
+def write_together(folder: Path, files: dict[str, bytes]) -> None:
+    """Several files, all of them in the end: they are in one log first, from which `finish` writes them again if this is cut short."""
+    write_bytes(folder / PENDING, (canonical({n: d.decode("utf-8") for n, d in files.items()}) + "\n").encode())
+    finish(folder)
+
+
+def finish(folder: Path) -> None:
+    log = folder / PENDING
+    if log.exists():
+        for name, text in sorted(loads(log.read_text("utf-8")).items()):
+            write_bytes(safe_path(folder, name), text.encode())
+        log.unlink()
+
+
 def write_tree(root: Path, files: dict[str, bytes]) -> bool:
     """A directory with just these files in place of the old one; False if it is so already. A swap that was cut short is
     undone by the next call."""
@@ -85,11 +106,13 @@ class Versions:
     def recover(self) -> None:
         """Generations that the pointer doesn't name were cut short, or are old: they go. It names the last one and the one
         before, which tables that are still being read may point to."""
+        for name in self.leftover():
+            shutil.rmtree(self.root / name)
+
+    def leftover(self) -> list[str]:
         pointer = self.root / "CURRENT"
         named = pointer.read_text().split("\n") if pointer.exists() else []
-        for p in self.root.glob("v-*"):
-            if p.name not in named:
-                shutil.rmtree(p)
+        return sorted(p.name for p in self.root.glob("v-*") if p.name not in named)
 
 
 def manifest(files: dict[str, bytes], inputs: str, build: str) -> bytes:
@@ -108,16 +131,25 @@ def tree_matches(root: Path, outputs: dict[str, dict]) -> bool:
 
 
 def state_digest(tables: dict[str, DataFrame]) -> str:
-    """Of the tables' rows in canonical order: rows are hashed where they lie, and only hashes are sorted."""
+    """Of the tables' rows, whatever their order: rows are hashed where they lie and equal ones counted; hashes are joined by
+    their beginnings in groups of about LEAF, those groups' digests by shorter beginnings, and so on, so that no group grows
+    with the table. The driver gets at most 256 digests."""
     from pyspark.sql import functions as F
 
+    from tessella.plans.lineage import cut
     from tessella.sources.jsonl import canonical_lines
 
     out = {}
     for name, df in sorted(tables.items()):
         h = canonical_lines(df).select(F.sha2("line", 256).alias("h"))
-        parts = h.groupBy(F.substring("h", 1, 2).alias("p")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ""), 256).alias("d"))
-        out[name] = [tuple(r) for r in parts.orderBy("p").collect()]
+        rows = cut(h.groupBy("h").agg(F.count(F.lit(1)).alias("n")).select("h", F.concat("h", F.lit(":"), F.col("n").cast("string")).alias("d")))
+        n, deep = rows.count(), 2
+        while n > LEAF * 16**deep:
+            deep += 1
+        for k in range(deep, 1, -1):
+            joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("h", "d"))), lambda x: x["d"]), ",")
+            rows = rows.groupBy(F.substring("h", 1, k).alias("h")).agg(F.sha2(joined, 256).alias("d"))
+        out[name] = [tuple(r) for r in rows.orderBy("h").collect()]
     return hashlib.sha256(json.dumps(out, sort_keys=True).encode()).hexdigest()
 
 
@@ -136,5 +168,32 @@ def fill_descriptor(template: str, values: dict[str, str]) -> str:
     return template
 
 
+def _shape(element: ElementTree.Element, values: dict[str, str]):
+    def put(text: str | None) -> str:
+        return re.sub(r"\{\{(\w+)\}\}", lambda m: values.get(m[1], m[0]), text or "").strip()
+
+    return element.tag, {k: put(v) for k, v in element.attrib.items()}, put(element.text), put(element.tail), [_shape(c, values) for c in element]
+
+
+def verify_descriptor(filled: str, template: str, values: dict[str, str]) -> None:
+    """An error unless the descriptor parses to the template's elements, attributes and texts with the values in their places,
+    so that no value adds or ends an element."""
+    try:
+        got, want = _shape(ElementTree.fromstring(filled), {}), _shape(ElementTree.fromstring(template), values)
+    except ElementTree.ParseError as e:
+        raise PackageError(f"the descriptor doesn't parse: {e}") from None
+    if got != want:
+        raise PackageError("the descriptor isn't its template with the values filled in")
+
+
+def verify_package(data: bytes, name: str, files: dict[str, bytes], descriptor: str) -> None:
+    """An error unless a package holds just these files and this descriptor, in canonical form inside and out."""
+    outer = verify_zip(data)
+    if list(outer) != [f"{name}/lib/{name}.jar"]:
+        raise PackageError("the package holds something else than one archive")
+    if verify_zip(next(iter(outer.values()))) != files | {"META-INF/plugin.xml": descriptor.encode("utf-8")}:
+        raise PackageError("the package holds other files than were made")
+
+
 def dist_manifest(artifact: bytes, name: str, inputs: str = "") -> str:
     return canonical({"artifact": name, "input_sha256": inputs, "sha256": hashlib.sha256(artifact).hexdigest(), "size": len(artifact)}) + "\n"

@@ -557,3 +557,93 @@ UNION ALL SELECT 'units', '', count(*) FROM labels""")
 def inventory_summary(t):
     collided = inventory.collision_counts(t.resources).withColumn("unresolved", ~F.col("content_identical"))
     return report.summary(t.documents.select(F.col("lang").alias("resource_type")), t.events.select(F.col("event_type").alias("reason")), collided, t.labels)
+
+
+# members and records, by the parts of their names
+_OUTER = """SELECT p_partkey, p_size, p_brand, CASE p_partkey % 6 WHEN 0 THEN 'lib/' || p_name || '.jar' WHEN 1 THEN 'lib\\' || p_name || '.jar' WHEN 2 THEN 'plugins/' || p_type || '/' || p_name || '.JAR'
+ WHEN 3 THEN 'bin/' || p_name || '.so' WHEN 4 THEN 'lib/' || p_name || '/' ELSE '/' || p_name || '.jar' END AS name FROM part"""
+
+
+def _outer(t) -> DataFrame:
+    n, e = F.col("p_partkey") % 6, F.concat
+    name = F.when(n == 0, e(F.lit("lib/"), "p_name", F.lit(".jar"))).when(n == 1, e(F.lit("lib\\"), "p_name", F.lit(".jar"))).when(n == 2, e(F.lit("plugins/"), "p_type", F.lit("/"), "p_name", F.lit(".JAR")))
+    name = name.when(n == 3, e(F.lit("bin/"), "p_name", F.lit(".so"))).when(n == 4, e(F.lit("lib/"), "p_name", F.lit("/"))).otherwise(e(F.lit("/"), "p_name", F.lit(".jar")))
+    return t.part.select("p_partkey", "p_size", "p_brand", name.alias("name"))
+
+
+@query(f"""SELECT p_partkey, CASE WHEN name LIKE '%/' THEN 'directory' WHEN name LIKE '/%' OR contains(name, '\\') THEN 'unsafe_path' WHEN NOT lower(name) LIKE '%.jar' THEN 'not_jar'
+ WHEN name LIKE 'plugins/ECO%' THEN 'third_party_container' WHEN name LIKE 'lib/%old%' THEN 'already_localized' WHEN p_size > 20 THEN 'nested_jar_too_large' END AS reason FROM ({_OUTER})""")
+def outer_cascade(t):
+    """The first reason for which an outer member isn't opened; its size counts last."""
+    rules = classify.ScanRules(container_rules=(("plugins/ECO*", "third_party_container"), ("lib/*old*", "already_localized")), limits={"max_nested_jar_bytes": 20})
+    m = _outer(t)
+    reason, large = classify.outer_reason(F.col("name"), F.col("name").endswith("/"), F.col("p_size"), rules)
+    return m.select("p_partkey", F.when(reason.isNull() & large, "nested_jar_too_large").otherwise(reason).alias("reason"))
+
+
+@query("""SELECT page_id, CASE WHEN host LIKE 'a%' AND path LIKE '%1%.properties' THEN 'non_translatable_resource' WHEN path LIKE '%2%' THEN 'non_translatable_resource' END AS reason
+ FROM (SELECT page_id, split_part(regexp_replace(url, '^https?://', ''), '/', 1) AS host, 'm' || page_id || '.properties' AS path FROM pages)""")
+def resource_exclusions(t):
+    """Rules that need both a container and a resource to match."""
+    rules = classify.ScanRules(resource_rules=(("a*", "*1*.properties", "non_translatable_resource"), ("*", "*2*", "non_translatable_resource")))
+    path = F.concat(F.lit("m"), F.col("page_id").cast("string"), F.lit(".properties"))
+    m = t.pages.select("page_id", F.split_part(F.regexp_replace("url", "^https?://", ""), F.lit("/"), F.lit(1)).alias("host"), path.alias("path"))
+    return m.select("page_id", classify.inner_reason(F.col("host"), F.col("path"), F.lit(False), F.lit(1), F.lit(True), rules).alias("reason"))
+
+
+_NAMED = """SELECT page_id, CASE page_id % 7 WHEN 0 THEN 'META-INF/plugin' || page_id || '.properties' WHEN 1 THEN 'tips/__index__/' || page_id || '.html' WHEN 2 THEN 'tips/' || page_id || '.html' WHEN 3 THEN 'm' || page_id || '.properties'
+ WHEN 4 THEN '../m.properties' WHEN 5 THEN 'tips/' || page_id || '.svg' ELSE 'fileTemplates/' || page_id || '.html' END AS path FROM pages"""
+
+
+def _named(t) -> DataFrame:
+    i, n = F.col("page_id").cast("string"), F.col("page_id") % 7
+    made = {0: ("META-INF/plugin", ".properties"), 1: ("tips/__index__/", ".html"), 2: ("tips/", ".html"), 3: ("m", ".properties"), 5: ("tips/", ".svg"), 6: ("fileTemplates/", ".html")}
+    path = F.lit("../m.properties")
+    for k, (a, b) in made.items():
+        path = F.when(n == k, F.concat(F.lit(a), i, F.lit(b))).otherwise(path)
+    return t.pages.select("page_id", path.alias("path"))
+
+
+@query(f"SELECT path, count(*)::BIGINT AS n FROM ({_NAMED}) WHERE page_id % 7 IN (2, 3, 6) GROUP BY path")
+def reference_paths(t):
+    """What a reference archive counts with: resources, without those that only accompany it."""
+    return _named(t).where(classify.is_reference_path(F.col("path"), classify.ScanRules())).groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""SELECT page_id, (kind = 'properties' AND path LIKE '%.properties') OR (kind = 'tip' AND path LIKE 'tips/%.html') OR (kind = 'file_template' AND path LIKE 'fileTemplates/%.html') AS supported
+ FROM (SELECT *, CASE page_id % 3 WHEN 0 THEN 'properties' WHEN 1 THEN 'tip' ELSE 'file_template' END AS kind FROM ({_NAMED}))""")
+def supported_records(t):
+    """Whether a record's type, place and ending go together."""
+    kind = F.element_at(F.array(F.lit("properties"), F.lit("tip"), F.lit("file_template")), (F.col("page_id") % 3 + 1).cast("int"))
+    return _named(t).select("page_id", classify.is_supported(kind, F.col("path")).alias("supported"))
+
+
+# what keeps units from being rendered
+@query("SELECT CAST(doc_id AS VARCHAR) AS id FROM labels WHERE quality < 2 OR toxic = 1")
+def unfinished_units(t):
+    """Units that aren't reviewed, or have a finding that blocks."""
+    finding = F.array(F.struct(F.lit("placeholder_mismatch").alias("code"), F.lit("blocking").alias("severity"))).cast(FINDINGS)
+    state = F.element_at(F.array(*(F.lit(s) for s in STATUSES)), F.least(F.col("quality"), F.lit(3)) + 1)
+    return render.unfinished(t.labels.select(F.col("doc_id").cast("string").alias("id"), state.alias("status"), F.when(F.col("toxic") == 1, finding).otherwise(F.array().cast(FINDINGS)).alias("findings")))
+
+
+@query(f"SELECT container, path AS resource_path FROM ({RES}) WHERE size % 10 < 2")
+def stray_contents(t):
+    """Contents that no resource claims, or that are there twice."""
+    r, last = t.resources, F.col("size") % 10
+    return render.stray_contents(r.where(last != 0), r.unionByName(r.where(last == 1)))
+
+
+@query("SELECT doc_id, count(DISTINCT s)::BIGINT AS styles FROM (SELECT doc_id, unnest(list_concat(regexp_extract_all(text || CASE doc_id % 3 WHEN 0 THEN chr(13) || chr(10) WHEN 1 THEN chr(13) ELSE '' END, '\\r\\n|\\r|\\n'), [NULL])) AS s FROM documents WHERE text IS NOT NULL) GROUP BY doc_id")
+def newline_style_sets(t):
+    """How many newline styles a text mixes."""
+    n = F.col("doc_id") % 3
+    text = F.concat("text", F.when(n == 0, "\r\n").when(n == 1, "\r").otherwise(""))
+    return t.documents.where("text IS NOT NULL").select("doc_id", F.size(E.newline_styles(text)).cast("bigint").alias("styles"))
+
+
+@query("SELECT coalesce(bool_or(quality = 0), false) AS any_open, coalesce(bool_and(quality <> 0), true) AS none_open, coalesce(bool_or(toxic = 1), false) AS any_blocking FROM labels")
+def unit_quantifiers(t):
+    finding = F.array(F.struct(F.lit("x").alias("code"), F.when(F.col("toxic") == 1, "blocking").otherwise("warning").alias("severity"))).cast(FINDINGS)
+    u = t.labels.select(F.col("quality") == 0, V.is_blocking(finding)).toDF("open", "blocking")
+    return u.agg(F.coalesce(F.bool_or("open"), F.lit(False)).alias("any_open"), F.coalesce(F.bool_and(~F.col("open")), F.lit(True)).alias("none_open"), F.coalesce(F.bool_or("blocking"), F.lit(False)).alias("any_blocking"))

@@ -6,6 +6,7 @@ import contextlib
 import fcntl
 import json
 import re
+import threading
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from tessella.operators import inventory, queue, render, report, units
 from tessella.operators.classify import ScanRules
 from tessella.plans import publish
 from tessella.plans.lineage import cut
-from tessella.schemas import COLLISION, EXCLUSION, ConfigError, EngineError, QueueError, RESOURCE, STALE_UNIT, UNIT
+from tessella.schemas import COLLISION, EXCLUSION, ConfigError, EngineError, OutputPathError, QueueError, RESOURCE, STALE_UNIT, StateError, UNIT
 from tessella.sources import blobs, jsonl, nested_zip
 
 PRODUCT_FIELDS = ("archive", "version", "build_number", "product_code", "sha256", "since_build", "until_build", "plugin_id", "plugin_version")
@@ -25,11 +26,14 @@ TABLES = {"resources": RESOURCE, "exclusions": EXCLUSION, "collisions": COLLISIO
 MANIFEST = "reports/generation.json"
 #: Used where config/descriptor.xml, a template with the same five placeholders, is missing.
 DESCRIPTOR = '<plugin><id>{{id}}</id><version>{{version}}</version><product-version since-build="{{since}}" until-build="{{until}}"/><change-notes><![CDATA[{{notes}}]]></change-notes></plugin>'
+#: Locks that this thread holds: by root, whether it is shared.
+_HELD = threading.local()
 
 
 class Workspace:
     """config/product.json, config/scanner.json, config/glossary.json and CHANGELOG.md are read; state/ holds generations of
-    tables, blobs/ the kept members' contents by hash, batches/ the exported batch, generated/ the rendered tree, dist/ the package, reports/ the status."""
+    tables, blobs/ the kept members' contents by hash, batches/ the exported batch, generated/ the rendered tree, dist/ the package, reports/ the status,
+    inventory/ the tables as canonical files."""
 
     def __init__(self, spark: SparkSession, root: str | Path):
         self.spark, self.root = spark, Path(root).resolve()
@@ -63,17 +67,41 @@ class Workspace:
 
     @contextlib.contextmanager
     def locked(self, shared: bool = False):
-        """One writer or many readers."""
+        """One writer or many readers. Who holds the lock may take it again, but not write under a reader's lock, which two
+        readers would wait for forever."""
+        held = _HELD.__dict__
+        if self.root in held:
+            if held[self.root] and not shared:
+                raise EngineError("a reader's lock can't become a writer's")
+            yield
+            return
         self.root.mkdir(parents=True, exist_ok=True)
         with (self.root / ".lock").open("a") as f:
             fcntl.flock(f, fcntl.LOCK_SH if shared else fcntl.LOCK_EX)
-            yield
+            held[self.root] = shared
+            try:
+                yield
+            finally:
+                del held[self.root]
+
+    def recover(self) -> None:
+        """What a command that was cut short left is undone, or done to its end."""
+        self.state.recover()
+        self.blobs.recover()
+        publish.finish(self.root / "reports")
+
+    def markers(self) -> list[str]:
+        """What a command that was cut short left, until `recover` or the next generation clears it."""
+        found = [*self.root.glob("generated.*"), *(v.root / n for v in (self.state, self.blobs) for n in v.leftover()), self.root / "reports" / publish.PENDING]
+        return sorted(p.relative_to(self.root).as_posix() for p in found if p.exists())
 
     # state
     def table(self, name: str) -> DataFrame:
         now = self.state.current()
-        if now is None or not (now / name).exists():
+        if now is None:
             return self.spark.createDataFrame([], TABLES[name])
+        if lost := sorted(n for n in TABLES if not (now / n).exists()):
+            raise StateError(f"the state lacks {', '.join(lost)}; remove state/CURRENT to begin anew")
         return self.spark.read.parquet(str(now / name))
 
     def checkpoint(self) -> queue.Checkpoint:
@@ -83,7 +111,7 @@ class Workspace:
 
     def commit(self, checkpoint: queue.Checkpoint | None = None, **tables: DataFrame) -> None:
         """A new generation: the given tables, and the others as they are."""
-        everything = {n: cut(tables.get(n, self.table(n))) for n in TABLES}
+        everything = {n: cut(tables[n] if n in tables else self.table(n)) for n in TABLES}
         c = checkpoint or self.checkpoint()
         self.state.publish(everything, {"checkpoint.json": (jsonl.canonical(c.to_dict()) + "\n").encode()})
 
@@ -95,8 +123,9 @@ class Workspace:
     def scan(self) -> dict:
         p, rules = self.product(), self.rules()
         path = str(self.root / p["archive"])
+        seen = nested_zip.identity(path)
         nested_zip.validate_source(path, p)
-        resources, exclusions, collisions, contents = inventory.scan(self.spark, path, rules, with_contents=True)
+        resources, exclusions, collisions, contents = inventory.scan(self.spark, path, rules, with_contents=True, seen=seen)
         previous = self.table("units")
         fresh = units.explode_units(resources.join(contents.select("source_sha256", "content"), "source_sha256"))
         now = cut(units.carry_over(fresh, previous))
@@ -112,7 +141,7 @@ class Workspace:
         rows, c = queue.export_next(self.table("units"), self.checkpoint(), limit)
         if not rows:
             return None
-        path = self.root / "batches" / c.current_batch
+        path = self.root / queue.BATCHES / c.current_batch
         if not path.exists():
             publish.write_bytes(path, jsonl.serialize(rows))
         if c != self.checkpoint():
@@ -120,7 +149,10 @@ class Workspace:
         return path
 
     def import_batch(self, path: str | Path) -> dict:
-        path = publish.safe_path(self.root, str(Path(path).resolve().relative_to(self.root)))
+        folder, path = self.root / queue.BATCHES, Path(path)
+        path = path if path.is_absolute() else self.root / path
+        if path.is_symlink() or path.resolve().parent != folder.resolve() or not path.is_file():
+            raise OutputPathError(f"no file of {folder}: {path}")
         rows = [jsonl.loads(line) for line in path.read_text("utf-8").splitlines()]
         now, counts, c = queue.import_batch(self.table("units"), rows, self.checkpoint(), self.glossary())
         self.commit(c, units=now)
@@ -162,9 +194,12 @@ class Workspace:
             raise EngineError("the generated tree isn't what the units give; generate first")
         notes = report.change_notes((self.root / "CHANGELOG.md").read_text("utf-8"), p["plugin_version"])
         own = self.root / "config/descriptor.xml"
-        descriptor = publish.fill_descriptor(own.read_text("utf-8") if own.exists() else DESCRIPTOR, {"id": p["plugin_id"], "version": p["plugin_version"], "since": p["since_build"], "until": p["until_build"], "notes": notes})
+        template = own.read_text("utf-8") if own.exists() else DESCRIPTOR
+        values = {"id": p["plugin_id"], "version": p["plugin_version"], "since": p["since_build"], "until": p["until_build"], "notes": notes}
+        descriptor = publish.fill_descriptor(template, values)
+        publish.verify_descriptor(descriptor, template, values)
         data = publish.package(files, "localization", descriptor)
-        nested_zip.verify_zip(data)
+        publish.verify_package(data, "localization", files, descriptor)
         publish.write_bytes(self.root / "dist/localization.zip", data)
         told = publish.dist_manifest(data, "localization.zip", self.inputs())
         publish.write_bytes(self.root / "dist/manifest.json", told.encode())
@@ -176,12 +211,17 @@ class Workspace:
         made, packed = self.made(MANIFEST), self.made("dist/manifest.json")
         tree_valid = bool(made) and made["input_sha256"] == inputs and publish.tree_matches(tree, made["outputs"])
         zip_valid = tree_valid and bool(packed) and package.is_file() and packed["input_sha256"] == inputs and nested_zip.fingerprint(str(package)) == (packed["sha256"], packed["size"])
-        markers = sorted(p.name for p in self.root.glob("generated.*") if p.is_dir())
-        states = {"present": tree.exists(), "valid": tree_valid, "recovery": ", ".join(markers)}, {"present": package.exists(), "valid": zip_valid}
+        states = {"present": tree.exists(), "valid": tree_valid, "recovery": ", ".join(self.markers())}, {"present": package.exists(), "valid": zip_valid}
         return report.snapshot(*(self.table(t) for t in ("resources", "exclusions", "collisions", "units", "stale_units")), self.checkpoint(), None, *states)
 
     def report(self) -> dict:
         r = self.status()
-        publish.write_bytes(self.root / "reports/status.json", report.render_json(r).encode())
-        publish.write_bytes(self.root / "reports/status.md", report.render_markdown(r).encode())
+        publish.write_together(self.root / "reports", {"status.json": report.render_json(r).encode(), "status.md": report.render_markdown(r).encode()})
         return r
+
+    def export(self) -> dict:
+        """The tables as canonical JSON Lines below inventory/, for exchange: the exclusions, by far the longest, compressed."""
+        names = {n: f"inventory/{n}.jsonl" + (".gz" if n == "exclusions" else "") for n in TABLES}
+        for n, path in names.items():
+            jsonl.write_file(self.table(n), self.root / path)
+        return names

@@ -5,7 +5,9 @@ from __future__ import annotations
 import gzip
 import json
 import os
-from collections.abc import Iterable, Iterator
+import uuid
+from collections.abc import Iterable, Iterator, Mapping
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -100,6 +102,38 @@ def read_jsonl(spark: SparkSession, path: str, schema: str | T.StructType, key:
     return out
 
 
+def records(data: bytes, label: str, schema: str | T.StructType, key: str | None = None, optional: Iterable[str] = ()) -> list[dict]:
+    """The records of a file that is in memory, as strict as `read_jsonl`; errors name the label and the line."""
+    kind, seen, out = strict(schema, optional), set(), []
+    key = key or next((c for c in ("resource_id", "id") if c in kind.names), None)
+    try:
+        lines = data.decode("utf-8").split("\n")
+    except UnicodeDecodeError as e:
+        raise StateError(f"{label}: {e}") from None
+    for n, line in enumerate(lines[:-1] if lines[-1] == "" else lines, 1):
+        try:
+            if not line.strip():
+                raise StateError("blank line")
+            row = check(loads(line), kind)
+            if key and (not row[key] or row[key] in seen):
+                raise StateError(f"empty or repeated id {row[key]!r}")
+        except StateError as e:
+            raise StateError(f"{label}:{n}: {e}") from None
+        if key:
+            seen.add(row[key])
+        out.append(row)
+    return out
+
+
+def read_together(spark: SparkSession, folder: str, schemas: Mapping[str, str | T.StructType], optional: Iterable[str] = ()) -> dict[str, DataFrame]:
+    """The tables of a folder, each in NAME.jsonl.gz or else NAME.jsonl. Either all are there or none (then all are empty)."""
+    at = {n: next((p for p in (f"{folder}/{n}.jsonl.gz", f"{folder}/{n}.jsonl") if os.path.exists(p)), None) for n in schemas}
+    lost = sorted(n for n, p in at.items() if p is None)
+    if lost and len(lost) < len(at):
+        raise StateError(f"{folder} lacks {', '.join(lost)}")
+    return {n: read_jsonl(spark, at[n] or f"{folder}/{n}.jsonl", s, optional=optional) for n, s in schemas.items()}
+
+
 def canonical(row: dict) -> str:
     return json.dumps(row, ensure_ascii=False, allow_nan=False, sort_keys=True, separators=(",", ":"))
 
@@ -126,6 +160,26 @@ def write_jsonl(df: DataFrame, path: str) -> None:
     canonical_lines(df).orderBy("id", "line").select("line").write.mode("overwrite").text(path, compression="gzip" if path.endswith(".gz") else "none")
 
 
+def write_file(df: DataFrame, path: str | Path) -> None:
+    """One file of canonical lines by id and line (.gz: compressed, without a time, so equal tables give equal bytes) in place of
+    the old one by a rename. Executors sort; the driver holds a partition at a time."""
+    path = Path(path)
+    path.parent.mkdir(parents=True, exist_ok=True)
+    temp = path.with_name(f".{path.name}.{uuid.uuid4().hex}")
+    try:
+        with temp.open("xb") as f:
+            packed = gzip.GzipFile("", "wb", fileobj=f, mtime=0) if path.name.endswith(".gz") else None
+            for r in canonical_lines(df).orderBy("id", "line").toLocalIterator():
+                (packed or f).write(r.line.encode("utf-8") + b"\n")
+            if packed:
+                packed.close()
+            f.flush()
+            os.fsync(f.fileno())
+        temp.replace(path)
+    finally:
+        temp.unlink(missing_ok=True)
+
+
 def serialize(rows: Iterable[dict]) -> bytes:
     """One file's canonical bytes, for tables that fit a driver (state files)."""
     keyed = sorted(((r.get("resource_id") or r.get("id") or ""), canonical(r)) for r in rows)

@@ -6,9 +6,11 @@ never influences a decision, so the metadata pass needs no decompression.
 
 from __future__ import annotations
 
+import contextlib
 import fnmatch
 import hashlib
 import io
+import os
 import tempfile
 import zipfile
 import zlib
@@ -29,13 +31,32 @@ _UNREADABLE = (zipfile.BadZipFile, EOFError, NotImplementedError, RuntimeError,
 
 
 class _Container(InputPartition):
-    def __init__(self, name: str):
+    def __init__(self, name: str, seen: str):
         super().__init__(name)
-        self.name = name
+        self.name, self.seen = name, seen
 
 
-def outer_members(path: str) -> list[tuple[str, int, bool, int]]:
-    with zipfile.ZipFile(path) as z:
+def identity(path: str) -> str:
+    """Size and time of change of a file: what tells, without reading it, that it is the one that was looked at before."""
+    return _identity(os.stat(path))
+
+
+def _identity(s: os.stat_result) -> str:
+    return f"{s.st_size}:{s.st_mtime_ns}"
+
+
+@contextlib.contextmanager
+def opened(path: str, seen: str | None = None) -> Iterator[zipfile.ZipFile]:
+    """The archive, read through the one handle that its identity was taken from; an error if it isn't `seen`."""
+    with open(path, "rb") as f:
+        if seen and _identity(os.fstat(f.fileno())) != seen:
+            raise SourceError(f"{path} has changed since it was first looked at")
+        with zipfile.ZipFile(f) as z:
+            yield z
+
+
+def outer_members(path: str, seen: str | None = None) -> list[tuple[str, int, bool, int]]:
+    with opened(path, seen) as z:
         return [(i.filename, n, i.is_dir(), i.file_size) for n, i in enumerate(z.infolist())]
 
 
@@ -47,15 +68,16 @@ class NestedZipReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path, self.glob = options["path"], options.get("containers", "*.jar")
         self.with_content = options.get("content", "false") == "true"
-        self.sha256, self.most = options.get("sha256"), int(options.get("max_resource_bytes", 1 << 62))
+        self.sha256, self.seen, self.most = options.get("sha256"), options.get("seen"), int(options.get("max_resource_bytes", 1 << 62))
 
     def partitions(self):
+        self.seen = self.seen or identity(self.path)
         if self.sha256 and fingerprint(self.path)[0] != self.sha256:
             raise SourceError("the archive isn't the expected one")
-        return [_Container(n) for n, _, is_dir, _ in sorted(outer_members(self.path)) if not is_dir and fnmatch.fnmatchcase(n.lower(), self.glob.lower())]
+        return [_Container(n, self.seen) for n, _, is_dir, _ in sorted(outer_members(self.path, self.seen)) if not is_dir and fnmatch.fnmatchcase(n.lower(), self.glob.lower())]
 
     def read(self, partition: _Container) -> Iterator[tuple]:
-        with zipfile.ZipFile(self.path) as outer, tempfile.SpooledTemporaryFile(SPOOL_BYTES) as spool:
+        with opened(self.path, partition.seen) as outer, tempfile.SpooledTemporaryFile(SPOOL_BYTES) as spool:
             try:
                 with outer.open(partition.name) as f:
                     while block := f.read(CHUNK):
@@ -77,7 +99,8 @@ class NestedZipReader(DataSourceReader):
 
 class NestedZip(DataSource):
     """Options: path; containers (a glob on inner archives' names); content (true reads all members' bytes; `read_contents`
-    reads chosen ones); sha256 (of the outer archive, checked before anything is read); max_resource_bytes."""
+    reads chosen ones); sha256 (of the outer archive, checked before anything is read); seen (its `identity`, which each task
+    checks on the handle it reads from); max_resource_bytes."""
 
     @classmethod
     def name(cls) -> str:
@@ -90,8 +113,8 @@ class NestedZip(DataSource):
         return NestedZipReader(dict(self.options))
 
 
-def read_outer(spark: SparkSession, path: str) -> DataFrame:
-    return spark.createDataFrame(outer_members(path), OUTER)
+def read_outer(spark: SparkSession, path: str, seen: str | None = None) -> DataFrame:
+    return spark.createDataFrame(outer_members(path, seen), OUTER)
 
 
 def read_members(spark: SparkSession, path: str, **options: str) -> DataFrame:
@@ -102,14 +125,14 @@ def read_members(spark: SparkSession, path: str, **options: str) -> DataFrame:
 CONTENTS = "container string, path string, ordinal int, content binary, error string"
 
 
-def read_contents(kept: DataFrame, path: str) -> DataFrame:
+def read_contents(kept: DataFrame, path: str, seen: str | None = None) -> DataFrame:
     """Content (or why it can't be read) of the members (container, ordinal) of `kept`, and of no others: the ordinals of a
     container meet where it is opened, once. Rows of about CHUNK bytes leave together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for name, ordinals in zip(b.column("container").to_pylist(), b.column("ordinals").to_pylist(), strict=True):
-                with zipfile.ZipFile(path) as outer, tempfile.SpooledTemporaryFile(SPOOL_BYTES) as spool:
+                with opened(path, seen) as outer, tempfile.SpooledTemporaryFile(SPOOL_BYTES) as spool:
                     with outer.open(name) as f:
                         while block := f.read(CHUNK):
                             spool.write(block)

@@ -14,7 +14,7 @@ from tessella.operators import budgets, classify, inventory, queue, render, repo
 from tessella.operators.classify import ScanRules
 from tessella.plans import publish, queries
 from tessella.plans.workspace import Workspace
-from tessella.schemas import ChangelogError, ConfigError, EngineError, OutputPathError, PackageError, QueueError, ScanError, StateError
+from tessella.schemas import ChangelogError, ConfigError, EngineError, OutputPathError, PackageError, QueueError, ScanError, SourceError, StateError
 from tessella.sources import jsonl, nested_zip
 
 SF = "/root/testdata/sf0.001"
@@ -190,8 +190,13 @@ def test_checkpoint_rules():
         queue.Checkpoint(1, 3, "3-a.jsonl", ["a"], "d")
     with pytest.raises(QueueError):
         queue.Checkpoint(1, 2, None, ["a"], "d")
-    c = queue.Checkpoint(1, 2, "2-a.jsonl", ["a"], "d")
+    c = queue.Checkpoint(1, 2, "2-a.jsonl", ["a"], "d" * 64)
     assert queue.Checkpoint.from_dict(c.to_dict()) == c
+    good = c.to_dict()
+    odd = [{"counts": {"exported": 2}}, {"counts": {"exported": True}}, {"next_command": "next-batch"}, {"batch_digest": "d"}, {"batch_digest": "D" * 64}, {"unit_ids": "a"}, {"unit_ids": ["a", ""]}, {"unit_ids": ["a", 1]}, {"more": 1}, {"current_sequence": "2"}, {"completed_sequence": True}]
+    for bad in [good | o for o in odd] + [{k: v for k, v in good.items() if k != n} for n in good] + [[good], None]:
+        with pytest.raises(QueueError):
+            queue.Checkpoint.from_dict(bad)
 
 
 @pytest.mark.parametrize("limit", [True, 0, -1, 1001, "1"])
@@ -236,6 +241,101 @@ def test_publishing(spark, tmp_path):
     assert publish.state_digest({"t": spark.range(5)}) == publish.state_digest({"t": spark.range(5).repartition(3)}) != publish.state_digest({"t": spark.range(6)})
 
 
+def test_state_digest_in_levels(spark, monkeypatch):
+    monkeypatch.setattr(publish, "LEAF", 1)
+    rows = [(i % 700, f"t{i % 700}") for i in range(900)]
+    df = spark.createDataFrame(rows, "id int, text string")
+    same = publish.state_digest({"t": df})
+    assert same == publish.state_digest({"t": spark.createDataFrame(rows[::-1], df.schema).repartition(5)})
+    assert same != publish.state_digest({"t": df.dropDuplicates()}) and same != publish.state_digest({"u": df})
+    assert publish.state_digest({"t": df.where("id < 0")}) == publish.state_digest({"t": df.limit(0)})
+
+
+def test_files_written_together(tmp_path, monkeypatch):
+    publish.write_together(tmp_path, {"a": b"1", "b": b"2"})
+    write = publish.write_bytes
+
+    def cut_short(path, data):
+        if path.name == "b":
+            raise OSError("no power")
+        write(path, data)
+
+    monkeypatch.setattr(publish, "write_bytes", cut_short)
+    with pytest.raises(OSError):
+        publish.write_together(tmp_path, {"a": b"3", "b": "ä".encode()})
+    assert (tmp_path / publish.PENDING).exists() and (tmp_path / "b").read_bytes() == b"2"
+    monkeypatch.undo()
+    publish.finish(tmp_path)
+    publish.finish(tmp_path)
+    assert (tmp_path / "a").read_bytes() == b"3" and (tmp_path / "b").read_text("utf-8") == "ä" and not (tmp_path / publish.PENDING).exists()
+
+
+def test_descriptors_and_packages():
+    template = '<p><id>{{id}}</id><r since="{{since}}"/><n><![CDATA[{{n}}]]></n></p>'
+    fill = lambda **v: (publish.fill_descriptor(template, v), template, v)
+    publish.verify_descriptor(*fill(id="x", since="1", n="<ul>]]> & </ul>"))
+    for bad in ({"id": "x</id><id>y", "since": "1", "n": ""}, {"id": "x", "since": '1" more="2', "n": ""}, {"id": "<", "since": "1", "n": ""}):
+        with pytest.raises(PackageError):
+            publish.verify_descriptor(*fill(**bad))
+    files = {"a/b": b"1"}
+    data = publish.package(files, "l", "<p/>")
+    publish.verify_package(data, "l", files, "<p/>")
+    for wrong in ((data, "m", files, "<p/>"), (data, "l", {"a/b": b"2"}, "<p/>"), (data, "l", files, "<q/>"), (data[:-1], "l", files, "<p/>")):
+        with pytest.raises(PackageError):
+            publish.verify_package(*wrong)
+
+
+def test_locks(spark, tmp_path):
+    w, again = Workspace(spark, tmp_path), Workspace(spark, tmp_path)
+    with w.locked(), again.locked(), again.locked(shared=True):
+        pass
+    with w.locked(shared=True), again.locked(shared=True):
+        with pytest.raises(EngineError), again.locked():
+            pass
+    with w.locked():  # free again
+        pass
+
+
+def test_exchange_files(spark, tmp_path):
+    kind = "id string, n bigint"
+    df = spark.createDataFrame([("b", 1), ("a", 2)], kind)
+    for name in ("x.jsonl", "y.jsonl.gz"):
+        jsonl.write_file(df, tmp_path / name)
+        first = (tmp_path / name).read_bytes()
+        jsonl.write_file(df.repartition(2), tmp_path / name)
+        assert (tmp_path / name).read_bytes() == first
+    assert (tmp_path / "x.jsonl").read_text() == '{"id":"a","n":2}\n{"id":"b","n":1}\n' and not list(tmp_path.glob(".*"))
+    assert jsonl.records((tmp_path / "x.jsonl").read_bytes(), "x", kind) == [{"id": "a", "n": 2}, {"id": "b", "n": 1}] and jsonl.records(b"", "x", kind) == []
+    for bad in (b'{"id":"a","n":2}\n\n', b'{"id":"a","n":2}\n{"id":"a","n":3}\n', b'{"id":"a"}\n', b"\xff\n"):
+        with pytest.raises(StateError, match="x:"):
+            jsonl.records(bad, "x", kind)
+    both = jsonl.read_together(spark, str(tmp_path), {"x": kind, "y": kind})
+    assert both["x"].exceptAll(both["y"]).isEmpty() and both["x"].count() == both["y"].count() == 2
+    assert jsonl.read_together(spark, str(tmp_path / "none"), {"x": kind})["x"].isEmpty()
+    with pytest.raises(StateError):
+        jsonl.read_together(spark, str(tmp_path), {"x": kind, "z": kind})
+
+
+def test_archives_that_change(spark, tmp_path):
+    path = archive(tmp_path / "p.zip", [("lib/a.jar", jar([("m.properties", b"a=b\n")]))])
+    seen = nested_zip.identity(path)
+    assert nested_zip.read_members(spark, path, seen=seen).count() == 1
+    archive(tmp_path / "p.zip", [("lib/a.jar", jar([("m.properties", b"a=bc\n")]))])
+    with pytest.raises(SourceError):
+        nested_zip.outer_members(path, seen)
+    with pytest.raises(Exception, match="has changed"):
+        nested_zip.read_contents(spark.createDataFrame([("lib/a.jar", 0)], "container string, ordinal int"), path, seen).collect()
+    with pytest.raises(Exception, match="has changed"):
+        nested_zip.read_members(spark, path, seen=seen).collect()
+
+
+def test_case_folding(spark):
+    paths = ["a/Maße", "A/MASSE", "k", "\u212a", "ς", "Σ", "only", ""]
+    got = render.case_clashes(spark.createDataFrame([(p,) for p in [*paths, None]], "p string"), "p").collect()
+    want = {f: sorted(p for p in paths if p.casefold() == f) for f in {p.casefold() for p in paths}}
+    assert {r.folded: r.paths for r in got} == {f: v for f, v in want.items() if len(v) > 1}
+
+
 def test_notes():
     assert report.change_notes("## 2\n- b\n## 1\n* a < c\n", "1") == "<ul><li>a &lt; c</li></ul>"
     for text, version in (("## 1\n", "1"), ("## 1\n- a\n", "2"), ("## 1\nprose\n", "1")):
