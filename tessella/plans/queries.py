@@ -438,10 +438,12 @@ def template_tokens(t):
     return t.documents.select("doc_id", F.size(E.template_tokens(F.replace("text", F.lit(" of "), F.lit(" ${of} $OF$ ")))).cast("bigint").alias("n"))
 
 
-@query()
+@query(r"""WITH d AS (SELECT doc_id, regexp_extract_all(text, '(?s)&&.?|__.?|[&_][\p{L}\p{N}]|[^&_]+|.') AS t FROM documents)
+SELECT doc_id, CASE WHEN t IS NOT NULL THEN [CASE WHEN left(t[i], 2) IN ('&&', '__') THEN 'escaped:' ELSE 'mnemonic:' END || left(t[i], 1) FOR i IN range(1, len(t) + 1)
+ IF left(t[i], 2) IN ('&&', '__') OR (regexp_full_match(t[i], '[&_][\p{L}\p{N}]') AND (i = 1 OR NOT regexp_matches(right(t[i - 1], 1), '[\p{L}\p{N}]')))] END AS tokens FROM d""")
 def mnemonic_tokens(t):
-    """All documents' own texts. Without a SQL twin, as its regular expressions can't look behind; tests hold it against the
-    plain version."""
+    """All documents' own texts. The twin can't look behind, so it cuts texts into markers and what lies between, and looks at
+    the piece before."""
     return t.documents.select("doc_id", E.mnemonic_tokens(F.col("text")).alias("tokens"))
 
 
@@ -465,7 +467,15 @@ def placeholder_multiset(t):
     return t.part.select(F.col("p_partkey").alias("id"), (~E.same_multiset(E.template_tokens(a), E.template_tokens(b))).alias("differs"))
 
 
-@query()
+@query(r"""WITH p AS (SELECT page_id, regexp_replace(regexp_replace(coalesce(html, ''), '(<script\b[^<>]*>).*?</script>', '\1</script>', 'gis'), '(<style\b[^<>]*>).*?</style>', '\1</style>', 'gis') AS h FROM pages),
+q AS (SELECT page_id, len(regexp_extract_all(h, '(?s)<!--.*?-->')) AS comments, regexp_matches(h, '(?i)<!doctype') AS declared, regexp_extract_all(regexp_replace(h, '<!--.*?-->', '', 'gs'), '</?[A-Za-z][^<>]*>') AS tags FROM p),
+k AS (SELECT *, [lower(regexp_extract(x, '^</?([A-Za-z][A-Za-z0-9]*)', 1)) FOR x IN tags] AS names FROM q),
+e AS (SELECT *, [CASE WHEN left(tags[i], 2) = '</' THEN '-' || names[i] WHEN right(tags[i], 2) = '/>' OR names[i] IN ('area', 'base', 'br', 'col', 'embed', 'hr', 'img', 'input', 'link', 'meta', 'param', 'source', 'track', 'wbr') THEN '.' ELSE '+' || names[i] END FOR i IN range(1, len(tags) + 1)] AS steps,
+ list_sum([len(regexp_extract_all(x, '(?i)\s(?:href|src)\s*=')) FOR x IN tags]) AS links FROM k),
+w AS (SELECT *, list_reduce(list_concat([''], steps), lambda s, x: CASE WHEN left(x, 1) = '+' THEN s || '/' || x[2:] WHEN left(x, 1) = '-' AND ends_with(s, '/' || x[2:]) THEN left(s, length(s) - length(x)) ELSE s END) AS open,
+ len([x FOR x IN steps IF left(x, 1) = '+']) AS opened, len([x FOR x IN steps IF left(x, 1) = '-']) AS closed FROM e),
+z AS (SELECT *, opened - len(string_split(open, '/')) + 1 AS ended FROM w)
+SELECT page_id, NOT declared AND open = '' AND closed = ended AS valid, (comments + len(steps) - closed + ended)::BIGINT AS events, coalesce(links, 0)::BIGINT AS links FROM z""")
 def markup_structure(t):
     @F.pandas_udf("struct<valid:boolean,events:bigint,links:bigint>")
     def shape(html: pd.Series) -> pd.DataFrame:

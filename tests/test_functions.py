@@ -1,5 +1,6 @@
 """Validation, message formats, markup, properties: cases by hand, and twins against each other."""
 
+import pathlib
 import random
 
 import pytest
@@ -82,7 +83,9 @@ def test_messages():
 
 
 def test_mnemonics_of_whole_documents(spark, tmp_path):
-    from tessella.plans.queries import QUERIES
+    import duckdb
+
+    from tessella.plans.queries import QUERIES, SQL
 
     texts = [None, "", "&a", "_x", "plain", "a&&& b", "&File a&b __x", "é&é &é\n_", "&&\n&1", *("".join(random.Random(i).choices("&&__aé1 \n.", k=12)) for i in range(300))]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
@@ -91,6 +94,8 @@ def test_mnemonics_of_whole_documents(spark, tmp_path):
         got = QUERIES["mnemonic_tokens"](spark, sf).collect()
         assert {r.doc_id: r.tokens for r in got} == want and len(got) == len(want)
         assert any(want.values())
+        twin = duckdb.sql(SQL["mnemonic_tokens"].replace("FROM documents", f"FROM read_parquet({[str(p) for p in pathlib.Path(sf).glob('documents.parquet/*.parquet')] or sf + '/documents.parquet'!r})")).fetchall()
+        assert dict(twin) == want
 
 
 def test_properties():
