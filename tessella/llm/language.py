@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import cut
+from tessella.llm.common import cut, lookup
 from tessella.llm.toxicity import fold
 
 FOLDS, HELD_OUT, UNKNOWN = 4, 2, "und"
@@ -21,6 +21,8 @@ FEATURES = 1 << FEATURE_BITS
 #: Rows that the classifier is fitted on, at most: so many of each language first, then those of the smallest hashes; every
 #: how manyth sets the temperature; features that these rows may hold together.
 TRAIN_ROWS, OF_EACH_LANG, CALIBRATE_EVERY, TRAIN_FEATURES = 3000, 50, 5, 10_000_000
+#: How many times the rows to choose are looked at for it: evenly spread hashes give fewer than chosen once in 10^30.
+SPARE = 4
 #: Follow-the-regularised-leader: learning rate, its smoothing, the elastic net's two penalties, passes.
 ALPHA, BETA, L1, L2, EPOCHS = 0.3, 1.0, 1e-4, 1e-4, 3
 #: Term frequencies are shares of a text's n-grams, times this.
@@ -146,10 +148,16 @@ def sample(learn: DataFrame, train_rows: int = TRAIN_ROWS, train_features: int =
     """At most `train_rows` different rows (lang, at, share) of learn (doc_id, text, lang), with at most `train_features`
     features together (but one row at least): OF_EACH_LANG of each language first, then those of the smallest hashes."""
     version = F.xxhash64("text")
-    keys = learn.select("doc_id", "lang", version.alias("_version")).distinct().withColumn("_key", F.xxhash64("doc_id", "lang", "_version"))
+    keys = cut(learn.select("doc_id", "lang", version.alias("_version")).distinct().withColumn("_key", F.xxhash64("doc_id", "lang", "_version")))
+    # hashes are spread evenly, so those of a language's (or of all) first rows lie below a bound that its number of rows gives
+    counts = cut(keys.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")))
+    share = F.col("_key").cast("double") / 2.0**64 + 0.5
+    total = counts.agg(F.sum("_n")).first()[0] or 0
     turn = F.row_number().over(Window.partitionBy("lang").orderBy("_key", "doc_id", "_version"))
-    first = keys.withColumn("_turn", turn).where(F.col("_turn") <= OF_EACH_LANG).select("_turn", "_key", "doc_id", "lang", "_version").orderBy("_turn", "_key", "doc_id", "lang", "_version").limit(train_rows)
-    more = keys.select(F.lit(OF_EACH_LANG + 1).alias("_turn"), "_key", "doc_id", "lang", "_version").orderBy("_key", "doc_id", "lang", "_version").limit(train_rows)
+    low = lookup(keys, counts, "lang", "_n", F.col("_key")).where(share * F.col("_n") < SPARE * OF_EACH_LANG)
+    first = low.withColumn("_turn", turn).where(F.col("_turn") <= OF_EACH_LANG).select("_turn", "_key", "doc_id", "lang", "_version").orderBy("_turn", "_key", "doc_id", "lang", "_version").limit(train_rows)
+    of_all = keys.where(share * total < SPARE * train_rows)
+    more = of_all.select(F.lit(OF_EACH_LANG + 1).alias("_turn"), "_key", "doc_id", "lang", "_version").orderBy("_key", "doc_id", "lang", "_version").limit(train_rows)
     each = first.union(more).groupBy("doc_id", "lang", "_version").agg(F.min("_turn").alias("_turn"), F.min("_key").alias("_key"))
     chosen = each.orderBy("_turn", "_key", "doc_id", "lang", "_version").limit(train_rows).select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), F.col("_version").alias("_of"), F.struct("_turn", "_key").alias("order"))
     on = learn["doc_id"].eqNullSafe(F.col("_id")) & (learn["lang"] == F.col("_lang")) & (version == F.col("_of"))

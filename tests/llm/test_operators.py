@@ -498,6 +498,22 @@ def test_language_of_long_repeated_and_rare_rows(spark):
     assert len(language.sample(learn)) == 408 and len(language.sample(learn, train_features=100)) < 10
 
 
+def test_language_sample_is_of_the_smallest_hashes(spark):
+    """Of each language first, then of all, whatever the languages' sizes."""
+    data = [(i, f"word{i} and {i % 7}", "a" if i < 5000 else "b" if i < 5400 else "c") for i in range(5403)]
+    learn = spark.createDataFrame([*data, *data[:300]], "doc_id long, text string, lang string").repartition(16)
+    key = F.xxhash64("doc_id", "lang", F.xxhash64("text"))
+    keys = sorted((r.k, r.lang) for r in learn.select(key.alias("k"), "lang").distinct().collect())
+    seen: Counter = Counter()
+    ranked = []
+    for k, lang in keys:
+        seen[lang] += 1
+        ranked.append((min(seen[lang], language.OF_EACH_LANG + 1), k, lang))
+    want = sorted(ranked)[:200]
+    got = sorted((*r.order, r.lang) for r in language.sample(learn, 200))
+    assert [(k, lang) for _, k, lang in got] == [(k, lang) for _, k, lang in want] and {lang for *_, lang in want} == {"a", "b", "c"}
+
+
 def test_frequencies_against_plain_counts(spark):
     texts = ["ab ba", "Ab", None, "12", "x" * 30, "ab"]
     df = Counter(f for t in texts for f in {int(x) for g in language.grams(t) for x in g})
